@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
 
 from newsignal.functions import numeric
 
@@ -22,27 +22,33 @@ def missing_prices(daily: DataFrame, prices: DataFrame) -> DataFrame:
     )
 
 
-def pearson(x: Column, y: Column, w: Window, min_pairs: int = 2) -> Column:
-    """Pearson correlation over a window frame; null for short or constant frames.
+def rolling_pearson(
+    df: DataFrame, x: str, y: str, window: WindowSpec, min_pairs: int = 2
+) -> DataFrame:
+    """Adds ``_r``: Pearson correlation over the frame, null for short or constant frames.
 
-    x and y are taken in whole units of their last published decimal, so the sums
-    are exact and do not depend on their order.
+    x and y are taken in whole units of their last published decimal, so the sums are
+    exact and do not depend on their order.  Each sum is one window column.
     """
-    both = x.isNotNull() & y.isNotNull()
-    a = F.when(both, numeric.whole(x))
-    b = F.when(both, numeric.whole(y))
-    n = F.count(a).over(w)
-
-    def total(c: Column) -> Column:
-        return F.sum(c).over(w)
-
-    def spread(c: Column) -> Column:
-        constant = F.min(c).over(w) == F.max(c).over(w)
-        return F.when(~constant, F.sqrt(n * total(c * c) - total(c) * total(c)))
-
-    product = n * total(a * b) - total(a) * total(b)
-    bottom = F.nullif(spread(a) * spread(b), F.lit(0.0))
-    return F.when(n >= min_pairs, product / bottom)
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    pairs = df.withColumn("_x", F.when(both, numeric.whole(F.col(x)))).withColumn(
+        "_y", F.when(both, numeric.whole(F.col(y)))
+    )
+    a, b = F.col("_x"), F.col("_y")
+    measures = {
+        "_n": F.count(a), "_sx": F.sum(a), "_sy": F.sum(b), "_sxx": F.sum(a * a),
+        "_syy": F.sum(b * b), "_sxy": F.sum(a * b), "_lx": F.min(a), "_hx": F.max(a),
+        "_ly": F.min(b), "_hy": F.max(b),
+    }
+    summed = pairs.withColumns({name: m.over(window) for name, m in measures.items()})
+    varied = (F.col("_lx") < F.col("_hx")) & (F.col("_ly") < F.col("_hy"))
+    r = F.expr("_n * _sxy - _sx * _sy") / F.nullif(
+        F.sqrt(F.expr("_n * _sxx - _sx * _sx")) * F.sqrt(F.expr("_n * _syy - _sy * _sy")),
+        F.lit(0.0),
+    )
+    return summed.withColumn("_r", F.when(varied & (F.col("_n") >= min_pairs), r)).drop(
+        "_x", "_y", *measures
+    )
 
 
 def rolling_corr(joined: DataFrame, rows: int = 7) -> DataFrame:
@@ -51,9 +57,10 @@ def rolling_corr(joined: DataFrame, rows: int = 7) -> DataFrame:
     The window of a ticker holds one row per day.
     """
     w = Window.partitionBy("ticker").orderBy("event_date").rowsBetween(-(rows - 1), 0)
-    r = pearson(F.col("sentiment_score"), F.col("price_change_pct"), w)
-    return joined.withColumn(
-        "correlation_7d", F.coalesce(numeric.half_even(r), F.lit(0.0))
+    return (
+        rolling_pearson(joined, "sentiment_score", "price_change_pct", w)
+        .withColumn("correlation_7d", F.coalesce(numeric.half_even(F.col("_r")), F.lit(0.0)))
+        .drop("_r")
     )
 
 

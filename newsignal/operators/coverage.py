@@ -108,6 +108,18 @@ def manifest_documents(manifest: DataFrame) -> DataFrame:
     )
 
 
+def run_rows(documents: DataFrame, status: str = "success", errors: str = "") -> DataFrame:
+    """Run-log rows from the day manifests: articles kept and companies not covered."""
+    total = F.aggregate(
+        F.concat(F.map_values("companies"), F.map_values("macro")), F.lit(0), lambda a, x: a + x
+    )
+    return documents.select(
+        F.col("date").alias("run_date"), F.lit(status).alias("status"),
+        total.alias("articles_processed"),
+        F.col("zero_coverage").alias("zero_coverage_tickers"), F.lit(errors).alias("errors"),
+    )
+
+
 def ingest_funnel(hits: DataFrame, mode: str = "substring") -> DataFrame:
     """Fetched, relevant and kept articles per day and query.
 

@@ -31,6 +31,14 @@ def _found(where: Column, needle: str) -> Column:
     return F.contains(where, F.lit(needle)) & F.rlike(where, F.lit(text.bounded_pattern(needle)))
 
 
+def _once(c: Column) -> Column:
+    """Generates the value as a row of its own, so it is computed a single time.
+
+    A plain column would be copied into every filter on it, and the search with it.
+    """
+    return F.explode_outer(F.array(c))
+
+
 def match_by_expression(articles: DataFrame, entities: Sequence[Row]) -> DataFrame:
     """Adds ``text_matches``: tickers whose name or safe symbol occurs in the article.
 
@@ -49,7 +57,7 @@ def match_by_expression(articles: DataFrame, entities: Sequence[Row]) -> DataFra
     return (
         articles.withColumn("_text", text.match_text(F.col("title"), F.col("description")))
         .withColumn("_lower", F.lower("_text"))
-        .withColumn("text_matches", matches)
+        .withColumn("text_matches", _once(matches))
         .drop("_text", "_lower")
     )
 
@@ -102,9 +110,13 @@ def match_by_anchor(articles: DataFrame, entities: DataFrame, key: str = "dedup_
         .withColumn("_lower", F.lower("_text"))
         .withColumn(
             "text_matches",
-            F.coalesce(
-                F.array_distinct(F.transform(F.filter("_cand", confirmed), lambda c: c["ticker"])),
-                _no_tags(),
+            _once(
+                F.coalesce(
+                    F.array_distinct(
+                        F.transform(F.filter("_cand", confirmed), lambda c: c["ticker"])
+                    ),
+                    _no_tags(),
+                )
             ),
         )
         .drop("_text", "_lower", "_cand")

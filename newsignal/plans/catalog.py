@@ -13,6 +13,8 @@ from newsignal.operators import (
     aggregate, clean, correlate, coverage, prices, quality, report, scoring, tagging,
 )
 from newsignal.plans import driver_tables as d
+from newsignal.plans.companies import query_table
+from newsignal.plans.daily import Inputs, daily_frames, run_day
 from newsignal.session import scratch_dir
 from newsignal.sources import articles as article_files, sinks, tables
 from newsignal.streaming import daily as stream_daily_ops, dedup, ingest, refresh
@@ -217,8 +219,6 @@ def first_wins(spark, sf):
 
 
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
-    from newsignal.plans.companies import query_table
-
     queries = query_table(d.word_entities(spark), d.TOPICS)
     kept = coverage.first_wins(d.hits(spark, sf))
     return coverage.coverage_manifest(kept, queries, d.FIRST_DAY, d.LAST_DAY)
@@ -1093,15 +1093,8 @@ def run_log_latest(spark, sf):
     """One logged run per day, with that day's uncovered companies; the last ten."""
     database = fresh_marts(spark)
     documents = coverage.manifest_documents(manifest(spark, sf))
-    total = F.aggregate(
-        F.concat(F.map_values("companies"), F.map_values("macro")), F.lit(0), lambda a, x: a + x
-    )
-    runs = documents.select(
-        F.col("date").alias("run_date"),
-        F.when(F.size("zero_coverage") > 0, "partial").otherwise("success").alias("status"),
-        total.alias("articles_processed"),
-        F.col("zero_coverage").alias("zero_coverage_tickers"),
-        F.lit("").alias("errors"),
+    runs = coverage.run_rows(documents).withColumn(
+        "status", F.when(F.size("zero_coverage_tickers") > 0, "partial").otherwise("success")
     )
     sinks.append_runs(runs, database)
     return report.latest_runs(tables.read_mart(spark, database, "pipeline_runs"))
@@ -1185,10 +1178,8 @@ def stream_mart_refresh(spark, sf):
 
 # ---- The whole day ---------------------------------------------------------------------
 
-def news_inputs(spark: SparkSession, sf: str):
+def news_inputs(spark: SparkSession, sf: str) -> Inputs:
     """Documents as articles, and closes of their companies from the events' values."""
-    from newsignal.plans.daily import Inputs
-
     n = len(d.WORD_ENTITIES)
     events = d.table(spark, sf, "events")
     tickers = F.array(*[F.lit(e[0]) for e in d.WORD_ENTITIES])
@@ -1196,7 +1187,8 @@ def news_inputs(spark: SparkSession, sf: str):
         F.element_at(tickers, (F.col("user_id") % n + 1).cast("int")).alias("ticker"),
         F.date_format("ts", "yyyy-MM-dd").alias("event_date"),
     ).agg((F.sum(numeric.whole(F.col("value"), 2)) / F.count("value") / 100.0).alias("close"))
-    return Inputs(raw_articles(spark, sf), closes, d.word_entities(spark))
+    entities = d.word_entities(spark)
+    return Inputs(raw_articles(spark, sf), closes, entities, query_table(entities, d.TOPICS))
 
 
 NEWS_SQL = with_(
@@ -1233,8 +1225,6 @@ NEWS_COLUMNS = "ticker, event_date, sentiment_score, price_change_pct, correlati
 @query("news_to_correlation", NEWS_SQL + NEWS_OUT)
 def news_to_correlation(spark, sf):
     """All stages in one lazy plan, from raw articles to the rolling correlation."""
-    from newsignal.plans.daily import daily_frames
-
     frames = daily_frames(news_inputs(spark, sf), _score)
     return frames["sentiment_price_correlation"].select(*NEWS_COLUMNS.split(", "))
 
@@ -1242,8 +1232,6 @@ def news_to_correlation(spark, sf):
 @query("daily_run", NEWS_SQL + NEWS_OUT)
 def daily_run(spark, sf):
     """The published correlation mart after two runs, the second one repeated."""
-    from newsignal.plans.daily import run_day
-
     database = fresh_marts(spark)
     store = scratch_dir(spark, "store")
     month = [f"2024-01-{day:02d}" for day in range(1, 31)]

@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsignal.operators import aggregate, clean, correlate, prices, scoring, tagging
+from newsignal.operators import (
+    aggregate, clean, correlate, coverage, prices, scoring, tagging,
+)
 from newsignal.sources import sinks, tables
 
 HEADLINE_ORDER = ["publishedAt", "dedup_key"]
@@ -18,6 +20,7 @@ class Inputs:
     articles: DataFrame
     closes: DataFrame
     entities: DataFrame
+    queries: DataFrame | None = None  # kind, name, query_rank; for the coverage manifest
 
 
 def daily_frames(
@@ -60,42 +63,50 @@ def run_day(
     score: Callable[[DataFrame], DataFrame] = scoring.score_by_words,
     label_rule: str = "shares",
 ) -> None:
-    """Runs the given dates and publishes the marts; safe to run again.
+    """Runs the given consecutive dates and publishes the marts; safe to run again.
 
     Each stage is written below ``store`` and read back, so a lost executor repeats
-    one stage only, and nothing is computed twice.  The correlation reads the stored
-    company-days of all dates; everything before it reads the given dates only.
+    one stage only, and nothing is computed twice.  Only the correlation looks at
+    other dates: it reads the stored company-days and prices, which are small.
     """
-    day_filter = F.col("date").isin(dates)
-    batch = clean.clean_articles(inputs.articles.filter(day_filter))
+    first, last = min(dates), max(dates)
+
+    def stage(name: str, date: str = "date") -> DataFrame:
+        rows = tables.read_partitioned(spark, f"{store}/{name}", date)
+        return rows.filter(F.col(date).isin(dates))
+
+    day_articles = inputs.articles.filter(F.col("date").isin(dates))
+    if inputs.queries is not None:
+        manifest = coverage.coverage_manifest(day_articles, inputs.queries, first, last)
+        documents = coverage.manifest_documents(manifest)
+        sinks.write_manifests(documents, f"{store}/manifests")
+
     staged = f"{store}/staging/clean"
-    sinks.replace_dataset(batch, staged)
+    sinks.replace_dataset(clean.clean_articles(day_articles), staged)
     sinks.append_new(spark.read.parquet(staged), f"{store}/clean", dates=dates)
 
-    cleaned = tables.read_partitioned(spark, f"{store}/clean", "date").filter(day_filter)
-    tagged = tagging.combine_tags(tagging.match_entities(cleaned, inputs.entities))
+    tagged = tagging.combine_tags(tagging.match_entities(stage("clean"), inputs.entities))
     sinks.write_partitions(
         tagged.filter(F.size("matched_tickers") > 0), f"{store}/tagged", "date"
     )
-    tagged = tables.read_partitioned(spark, f"{store}/tagged", "date").filter(day_filter)
 
     scores_path = f"{store}/scores"
     known = sinks.stored_or_none(spark, scores_path)
-    texts = scoring.with_scoring_text(tagged).select("dedup_key", "text")
+    texts = scoring.with_scoring_text(stage("tagged")).select("dedup_key", "text")
     if known is not None:
         texts = scoring.pending_articles(texts, known, model_version)
     fresh = score(texts).drop("text").withColumn("model_version", F.lit(model_version))
     sinks.append_scores(fresh, scores_path)
 
     scores = tables.read_parquet(spark, scores_path)
-    scored = scoring.attach_scores(tagged, scores, model_version)
-    mentions = tagging.explode_mentions(scored, inputs.entities).withColumnRenamed(
-        "date", "event_date"
-    )
-    sinks.write_partitions(mentions, f"{store}/mentions")
-    mentions = tables.read_partitioned(spark, f"{store}/mentions").filter(
-        F.col("event_date").isin(dates)
+    scored = scoring.attach_scores(stage("tagged"), scores, model_version)
+    sinks.write_partitions(
+        tagging.explode_mentions(scored, inputs.entities).withColumnRenamed(
+            "date", "event_date"
+        ),
+        f"{store}/mentions",
     )
+    mentions = stage("mentions", "event_date")
     sinks.overwrite_mart(
         aggregate.sentiment_mart(mentions, HEADLINE_ORDER, label_rule), database,
         "company_sentiment",
@@ -103,10 +114,16 @@ def run_day(
     sinks.write_partitions(aggregate.daily_mean(mentions), f"{store}/daily")
 
     closes = tables.normalize_closes(inputs.closes, inputs.entities)
-    price_rows = prices.price_change(prices.one_close_per_day(closes, ["close"]))
-    sinks.overwrite_mart(price_rows, database, "price_data")
-    daily = tables.read_partitioned(spark, f"{store}/daily")
-    joined = correlate.sentiment_price_join(daily, price_rows)
-    sinks.overwrite_mart(
-        correlate.rolling_corr(joined), database, "sentiment_price_correlation"
+    unique = prices.one_close_per_day(closes, ["close"])
+    sinks.write_partitions(prices.price_backfill(unique, first, last), f"{store}/prices")
+    sinks.overwrite_mart(stage("prices", "event_date"), database, "price_data")
+
+    joined = correlate.sentiment_price_join(
+        tables.read_partitioned(spark, f"{store}/daily"),
+        tables.read_partitioned(spark, f"{store}/prices"),
     )
+    # Later days look back at the days of this run, so they are renewed as well.
+    renewed = correlate.rolling_corr(joined).filter(F.col("event_date") >= first)
+    sinks.overwrite_mart(renewed, database, "sentiment_price_correlation")
+    if inputs.queries is not None:
+        sinks.append_runs(coverage.run_rows(documents), database)

@@ -66,12 +66,13 @@ def add_batch(
 ) -> None:
     """Adds a micro-batch's rows whose key no other batch holds, one row per key.
 
-    The rows are kept under the batch's number: a retry replaces them.
+    Copies of a key share their date, so only stored rows of the batch's dates are
+    read.  The rows are kept under the batch's number: a retry replaces them.
     """
-    rows = first_per_key(batch, [key], order)
+    rows = first_per_key(batch, [by, key], order)
     stored = stored_or_none(batch.sparkSession, path)
     if stored is not None:
-        rows = not_stored(rows, stored.filter(F.col("batch_id") != batch_id), [key])
+        rows = not_stored(rows, stored.filter(F.col("batch_id") != batch_id), [by, key])
     (
         rows.withColumn("batch_id", F.lit(batch_id))
         .write.mode("overwrite")
