@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from newsignal import schemas
+from newsignal.sources.tables import local_table
 
 # Ticker, full name, short name, industry.
 COMPANIES = [
@@ -54,7 +55,7 @@ def company_table(spark: SparkSession) -> DataFrame:
         (ticker, full, short, industry, ticker not in AMBIGUOUS_SYMBOLS, rank)
         for rank, (ticker, full, short, industry) in enumerate(COMPANIES)
     ]
-    return spark.createDataFrame(rows, schemas.ENTITY)
+    return local_table(spark, rows, schemas.ENTITY)
 
 
 def query_table(entities: DataFrame, topics: list[str]) -> DataFrame:
@@ -63,8 +64,7 @@ def query_table(entities: DataFrame, topics: list[str]) -> DataFrame:
     companies = entities.selectExpr(
         "'company' as kind", "ticker as name", "query_rank as query_rank"
     )
-    macro = spark.createDataFrame(
-        [("macro", t, 1_000_000 + i) for i, t in enumerate(topics)],
-        "kind string, name string, query_rank int",
+    macro = local_table(
+        spark, [("macro", t, 1_000_000 + i) for i, t in enumerate(topics)], schemas.QUERY_LIST
     )
     return companies.unionByName(macro)

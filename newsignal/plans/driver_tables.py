@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsignal import schemas
 from newsignal.functions import numeric
+from newsignal.sources.tables import local_table
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -37,7 +38,7 @@ NEGATIVE = ["attion", "eriner", "licensed", "erüver"]
 
 def word_entities(spark: SparkSession) -> DataFrame:
     rows = [(*e, rank) for rank, e in enumerate(WORD_ENTITIES)]
-    return spark.createDataFrame(rows, schemas.ENTITY)
+    return local_table(spark, rows, schemas.ENTITY)
 
 
 def _values(rows: list[tuple]) -> str:

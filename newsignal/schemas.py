@@ -36,6 +36,7 @@ SCORED = _struct(
 ENTITY = _struct(
     "ticker full_name short_name industry", symbol_is_safe=BOOLEAN, query_rank=INT
 )
+QUERY_LIST = _struct("kind name", query_rank=INT)
 
 # Mart tables; the partition column comes last.
 PRICE_DATA = _struct(

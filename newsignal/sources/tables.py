@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from newsignal import schemas
 from newsignal.functions import text
@@ -15,6 +18,18 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A small table from Python rows.
+
+    Passed as Arrow data, it has a size that Spark knows, so joins can broadcast it.
+    """
+    columns = {
+        f.name: pa.array([r[i] for r in rows], to_arrow_type(f.dataType))
+        for i, f in enumerate(schema)
+    }
+    return spark.createDataFrame(pa.table(columns), schema)
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """Rows of all frames by column name; columns a frame lacks are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
