@@ -16,10 +16,11 @@ def sentiment_price_join(daily: DataFrame, prices: DataFrame) -> DataFrame:
 
 def missing_prices(daily: DataFrame, prices: DataFrame) -> DataFrame:
     """Tickers with sentiment but without any day that also has a price."""
-    joined = daily.select(*PAIR).join(prices.select(*PAIR), PAIR, "left_semi")
-    return daily.select("ticker").distinct().join(
-        joined.select("ticker").distinct(), "ticker", "left_anti"
+    priced = prices.select(*PAIR, F.lit(True).alias("_priced"))
+    any_day = daily.select(*PAIR).join(priced, PAIR, "left").groupBy("ticker").agg(
+        F.max("_priced").alias("_priced")
     )
+    return any_day.filter("_priced is null").select("ticker")
 
 
 def rolling_pearson(

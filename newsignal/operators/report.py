@@ -26,23 +26,27 @@ def apply_facets(
 
 
 def facets(mart: DataFrame) -> DataFrame:
-    """Industries that occur, and the first and last date, as (facet, value) rows."""
+    """Industries that occur, and the first and last date, as (facet, value) rows.
+
+    The mart is read once; what is left after that is one row per industry.
+    """
     per_industry = mart.groupBy("industry").agg(
-        F.min("event_date").alias("first"), F.max("event_date").alias("last")
+        F.min("event_date").cast("string").alias("first"),
+        F.max("event_date").cast("string").alias("last"),
     )
-    bounds = per_industry.agg(F.min("first").alias("first"), F.max("last").alias("last"))
-    industries = per_industry.filter("industry is not null").select(
-        F.lit("industry").alias("facet"), F.col("industry").alias("value")
+    pairs = F.create_map(
+        F.lit("industry"), F.col("industry"), F.lit("first_date"), F.col("first"),
+        F.lit("last_date"), F.col("last"),
+    )
+    kind = F.col("facet")
+    return (
+        per_industry.select(F.explode(pairs).alias("facet", "value"))
+        .filter("value is not null")
+        .groupBy("facet", F.when(kind == "industry", F.col("value")).alias("_industry"))
+        .agg(F.min("value").alias("_min"), F.max("value").alias("_max"))
+        .select("facet", F.when(kind == "last_date", F.col("_max")).otherwise(F.col("_min")).alias("value"))
+        .orderBy("facet", "value")
     )
-    dates = bounds.select(
-        F.explode(
-            F.array(
-                F.struct(F.lit("first_date").alias("facet"), F.col("first").cast("string").alias("value")),
-                F.struct(F.lit("last_date").alias("facet"), F.col("last").cast("string").alias("value")),
-            )
-        ).alias("r")
-    ).select("r.*")
-    return industries.unionByName(dates).orderBy("facet", "value")
 
 
 def latest_per_entity(

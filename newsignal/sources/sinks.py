@@ -75,6 +75,7 @@ def add_batch(
         rows = not_stored(rows, stored.filter(F.col("batch_id") != batch_id), [by, key])
     (
         rows.withColumn("batch_id", F.lit(batch_id))
+        .hint("rebalance", by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(by, "batch_id")
