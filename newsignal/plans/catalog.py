@@ -71,6 +71,12 @@ def share(label: str) -> str:
 
 
 SHARES = f"{share('positive')} AS pct_positive, {share('negative')} AS pct_negative"
+def _sql_found(where: str, needle: str) -> str:
+    quoted = needle.replace("'", "''")
+    pattern = text.bounded_pattern(needle).replace("'", "''")
+    return f"(contains({where}, '{quoted}') AND regexp_matches({where}, '{pattern}'))"
+
+
 DAY_LABEL = (
     "CASE WHEN 1 - pct_positive - pct_negative > pct_positive THEN 'neutral' "
     "WHEN pct_positive >= pct_negative THEN 'positive' ELSE 'negative' END"
@@ -202,11 +208,15 @@ def relevance_filter(spark, sf):
 @query(
     "relevance_filter_token",
     HITS_CTE
-    + f"""SELECT {HIT_COLUMNS} FROM hits WHERE article_type = 'macro' OR """
+    + f"""SELECT {HIT_COLUMNS} FROM (SELECT *, lower(coalesce(title, '')) AS t,
+      lower(coalesce(description, '')) AS b FROM hits) WHERE article_type = 'macro' OR """
     + " OR ".join(
-        f"regexp_matches(lower(coalesce({field}, '')), '{d.SQL_BEFORE}' || "
-        f"replace(lower({target}), '.', '\\.') || '{d.SQL_AFTER}')"
-        for field in ("title", "description") for target in ("company", "ticker")
+        f"(query_rank = {rank} AND ("
+        + " OR ".join(
+            _sql_found(field, target.lower()) for field in "tb" for target in (e[0], e[2])
+        )
+        + "))"
+        for rank, e in enumerate(d.WORD_ENTITIES)
     ),
 )
 def relevance_filter_token(spark, sf):
@@ -285,22 +295,24 @@ def ingest_funnel(spark, sf):
 
 # ---- Tagging ---------------------------------------------------------------------------
 
-def _sql_found(where: str, needle: str) -> str:
-    quoted = f"regexp_replace({needle}, '([^\\p{{L}}\\p{{N}}_\\s])', '\\\\\\1', 'g')"
-    return f"regexp_matches({where}, '{d.SQL_BEFORE}' || {quoted} || '{d.SQL_AFTER}')"
+def _sql_tag(ticker: str, full: str, short: str, _industry: str, safe: bool) -> str:
+    found = [_sql_found("low", name.lower()) for name in (full, short)]
+    if safe:
+        found.append(_sql_found("body", ticker))
+    return f"CASE WHEN {' OR '.join(found)} THEN '{ticker}' END"
 
 
 MATCHES = f"""
-cleaned AS (
+cleaned AS MATERIALIZED (
   SELECT * FROM (SELECT *, {d.KEY_SQL} AS dedup_key FROM articles WHERE title IS NOT NULL)
   QUALIFY row_number() OVER (PARTITION BY dedup_key ORDER BY {ARTICLE_ORDER}) = 1),
-bodies AS (
-  SELECT *, coalesce(title, '') || ' ' || coalesce(description, '') AS body FROM cleaned),
-text_matches AS (
-  SELECT dedup_key, e.ticker AS tag FROM bodies b, word_entities e
-  WHERE {_sql_found('lower(body)', 'lower(full_name)')}
-     OR {_sql_found('lower(body)', 'lower(short_name)')}
-     OR (symbol_is_safe AND {_sql_found('body', 'e.ticker')})),
+bodies AS MATERIALIZED (
+  SELECT *, coalesce(title, '') || ' ' || coalesce(description, '') AS body, lower(body) AS low
+  FROM cleaned),
+text_matches AS MATERIALIZED (
+  SELECT * FROM (SELECT dedup_key, unnest([
+    {", ".join(_sql_tag(*e) for e in d.WORD_ENTITIES)}]) AS tag FROM bodies)
+  WHERE tag IS NOT NULL),
 tags AS (
   SELECT * FROM text_matches UNION
   SELECT dedup_key, ticker FROM cleaned WHERE article_type = 'company' AND ticker <> 'MACRO'),
