@@ -778,8 +778,8 @@ def faceted_filter(spark, sf):
     "rankings",
     MART_SQL
     + f"""SELECT company_name, industry, sentiment_label, sentiment_score, mention_count,
-      round(pct_positive * 1e2 * 1e1) / 1e1 AS pct_positive,
-      round(pct_negative * 1e2 * 1e1) / 1e1 AS pct_negative, event_date
+      ({d.even_units('(pct_positive * 1e2 * 1e1)')}) / 1e1 AS pct_positive,
+      ({d.even_units('(pct_negative * 1e2 * 1e1)')}) / 1e1 AS pct_negative, event_date
     FROM (SELECT * FROM mart WHERE {PICK_SQL}) {LATEST}""",
 )
 def rankings(spark, sf):
