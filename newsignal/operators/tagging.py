@@ -7,6 +7,7 @@ only the candidates found that way are checked against the text.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
@@ -21,9 +22,13 @@ def _no_tags() -> Column:
     return F.array().cast("array<string>")
 
 
+def _has_word(name: str | None) -> bool:
+    return bool(name) and re.search(r"\w", name) is not None
+
+
 def _names(entity: Row) -> list[str]:
-    names = [n.lower() for n in (entity["full_name"], entity["short_name"]) if n]
-    return sorted(set(names))
+    names = (entity["full_name"], entity["short_name"])
+    return sorted({n.lower() for n in names if _has_word(n)})
 
 
 def _found(where: Column, needle: str) -> Column:
@@ -50,7 +55,7 @@ def match_by_expression(articles: DataFrame, entities: Sequence[Row]) -> DataFra
         found = F.lit(False)
         for name in _names(entity):
             found = found | _found(low, name)
-        if entity["symbol_is_safe"]:
+        if entity["symbol_is_safe"] and _has_word(entity["ticker"]):
             found = found | _found(raw, entity["ticker"])
         hits.append(F.when(found, F.lit(entity["ticker"])))
     matches = F.array_distinct(F.array_compact(F.array(*hits))) if hits else _no_tags()
@@ -63,7 +68,11 @@ def match_by_expression(articles: DataFrame, entities: Sequence[Row]) -> DataFra
 
 
 def _targets(entities: DataFrame) -> DataFrame:
-    """One row per name or safe symbol, with its longest word as the anchor."""
+    """One row per name or safe symbol, with one of its words as the anchor.
+
+    The anchor is the word that the fewest dictionary entries share, the longest of
+    those, so that a word like "international" does not call up every other name.
+    """
     names = entities.select(
         "ticker",
         F.explode(F.array(F.lower("full_name"), F.lower("short_name"))).alias("needle"),
@@ -72,14 +81,15 @@ def _targets(entities: DataFrame) -> DataFrame:
     symbols = entities.filter("symbol_is_safe").select(
         "ticker", F.col("ticker").alias("needle"), F.lit(True).alias("exact_case")
     )
-    words = text.tokens(F.lower("needle"))
-    longest = F.array_max(F.transform(words, lambda w: F.struct(F.length(w), w.alias("w"))))
-    return (
+    target = ["ticker", "needle", "exact_case"]
+    words = (
         names.unionByName(symbols)
-        .filter("needle is not null")
         .distinct()
-        .withColumn("anchor", longest["w"])
+        .select(*target, F.explode(F.array_distinct(text.tokens(F.lower("needle")))).alias("word"))
     )
+    shared = words.groupBy("word").agg(F.count(F.lit(1)).alias("_n"))
+    rank = F.struct("_n", -F.length("word"), "word")
+    return words.join(shared, "word").groupBy(*target).agg(F.min_by("word", rank).alias("anchor"))
 
 
 def match_by_anchor(articles: DataFrame, entities: DataFrame, key: str = "dedup_key") -> DataFrame:

@@ -137,6 +137,30 @@ def test_matching(spark, frame, way):
     assert got == {**want, "description": {"BA"}, "across": {"AXP"}}
 
 
+def test_both_ways_agree_on_awkward_names(spark, frame):
+    entities = spark.createDataFrame(
+        [("A", "International Group of A", "&", "X", True, 0),
+         ("B", "International Group of B", "", "X", True, 1),
+         ("C", "International", None, "X", False, 2), ("D.1", "a-b.c", "D (new)", "X", True, 3),
+         ("E", None, None, "X", True, 4)],
+        schemas.ENTITY,
+    )
+    rows = frame(
+        "dedup_key string, title string, description string",
+        dict(dedup_key="1", title="INTERNATIONAL group of a & b"),
+        dict(dedup_key="2", title="A-B.C, D.1 and d (NEW)!", description="E"),
+        dict(dedup_key="3", title="d.1 e &", description=""),
+        dict(dedup_key="4", title="International Group of B"),
+    )
+    # The symbols A and B count in "A-B.C", between a hyphen and a dot.
+    want = {"1": {"A", "C"}, "2": {"D.1", "E", "A", "B"}, "3": set(), "4": {"B", "C"}}
+    for matched in (
+        tagging.match_by_expression(rows, entities.collect()),
+        tagging.match_by_anchor(rows, entities),
+    ):
+        assert {r["dedup_key"]: set(r["text_matches"]) for r in matched.collect()} == want
+
+
 def test_matching_picks_the_way_by_dictionary_size(spark, frame):
     rows = frame("dedup_key string, title string, description string", dict(dedup_key="a", title="Visa"))
     entities = company_table(spark)
