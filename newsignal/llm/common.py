@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newsignal.session import scratch_dir
@@ -71,7 +72,7 @@ def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``limit`` bytes of text each, a longer text alone."""
     texts = batch.column(column)
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0), np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64)
     total = np.cumsum(sizes)
     at = 0
     while at < len(sizes):
