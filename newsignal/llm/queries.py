@@ -16,6 +16,7 @@ from newsignal.llm.html_extract import main_text
 from newsignal.llm.jaccard_join import THREE_90, jaccard_groups
 from newsignal.llm.line_dedup import counts_name, drop_common_lines
 from newsignal.llm.mixing import mix
+from newsignal.llm.oracles import ORACLES  # noqa: F401
 from newsignal.llm.packing import pack_documents
 from newsignal.llm.phrase_dedup import drop_repeated_phrases
 from newsignal.llm.ring import Ring, bounded_ring_shards
@@ -102,4 +103,4 @@ QUERIES = {
         op6_suffix_dedup, op7_host_rules, op8_line_dedup, op9_pack, op10_phrase_dedup,
     )
 }
-ORACLES: dict[str, str] = {}
+
