@@ -8,9 +8,9 @@ from pyspark.sql import Column, functions as F
 
 # The characters Python's str.strip() removes.
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 # A word character is a letter, a digit or "_".  The class is spelled out because
@@ -30,9 +30,12 @@ def or_empty(c: Column) -> Column:
 
 
 def dedup_key(url: Column, title: Column, source: Column, published: Column) -> Column:
-    """sha256 of the normalised url, or of title+source+time when there is no url."""
+    """sha256 of the normalised url, or of title+source+time when there is no url.
+
+    A blank url counts as none, so that unrelated articles do not share its key.
+    """
     fallback = F.concat(or_empty(title), or_empty(source), or_empty(published))
-    basis = F.when(F.length(url) > 0, strip(url)).otherwise(fallback)
+    basis = F.when(F.length(strip(url)) > 0, strip(url)).otherwise(fallback)
     return F.sha2(F.lower(basis), 256)
 
 

@@ -25,6 +25,12 @@ def with_dedup_key(articles: DataFrame) -> DataFrame:
     )
 
 
+ARTICLE_ORDER = [
+    "date", "publishedAt", "url", "title", "description", "source", "ticker", "company",
+    "article_type", "content",
+]
+
+
 def clean_articles(articles: DataFrame, scope: str = "global") -> DataFrame:
     """Titled articles, one per dedup key.
 
@@ -35,16 +41,15 @@ def clean_articles(articles: DataFrame, scope: str = "global") -> DataFrame:
         raise ValueError(f"unknown scope: {scope}")
     titled = with_dedup_key(articles.filter(F.col("title").isNotNull()))
     keys = ["dedup_key"] if scope == "global" else ["date", "dedup_key"]
-    order = ["date", "publishedAt", "url", "title", "description", "source", "ticker"]
+    order = [c for c in ["query_rank", *ARTICLE_ORDER] if c in titled.columns]
+    if "query_rank" in order:  # the query that ran first wins within a day
+        order = ["date", F.asc_nulls_last("query_rank"), *[c for c in ARTICLE_ORDER[1:] if c in order]]
     return first_per_key(titled, keys, order)
 
 
 def not_stored(batch: DataFrame, stored_keys: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of the batch whose key is not among the stored ones.
 
-    The stored keys are first cut down to those of the batch.  Spark broadcasts the
-    batch keys when they are small enough, and then the history is read without a
-    shuffle; else both sides shuffle on the key.
+    The batch is used once: give a stored batch, or one that is cheap to compute.
     """
-    seen = stored_keys.select(*keys).join(batch.select(*keys), keys, "left_semi").distinct()
-    return batch.join(seen, keys, "left_anti")
+    return batch.join(stored_keys.select(*keys), keys, "left_anti")

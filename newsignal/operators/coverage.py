@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from newsignal.functions import text
 from newsignal.functions.dates import days_between
-from newsignal.operators.clean import first_per_key, with_dedup_key
+from newsignal.operators.clean import ARTICLE_ORDER, first_per_key, with_dedup_key
 
 
 def is_relevant(
@@ -53,21 +53,48 @@ def relevant_hits(hits: DataFrame, mode: str = "substring") -> DataFrame:
 def first_wins(hits: DataFrame, mode: str = "substring") -> DataFrame:
     """Each article of a day goes to the first query that returned it as relevant."""
     keyed = with_dedup_key(relevant_hits(hits, mode))
-    return first_per_key(keyed, ["date", "dedup_key"], ["query_rank", "position"])
+    rest = [c for c in ARTICLE_ORDER if c in keyed.columns]
+    order = [F.asc_nulls_last("query_rank"), F.asc_nulls_last("position"), *rest]
+    return first_per_key(keyed, ["date", "dedup_key"], order)
+
+
+def query_name() -> Column:
+    """Name of the query that an article came from: the macro topic or the ticker."""
+    return F.when(F.col("article_type") == "macro", F.col("company")).otherwise(F.col("ticker"))
+
+
+def as_hits(articles: DataFrame, queries: DataFrame) -> DataFrame:
+    """Raw articles as hits: with the rank of the query each one came from.
+
+    Articles of a query that is not listed rank last.
+    """
+    ranks = queries.select(
+        F.col("kind").alias("article_type"), F.col("name").alias("_name"), "query_rank"
+    )
+    named = articles.withColumn("_name", query_name())
+    if "position" not in articles.columns:
+        named = named.withColumn("position", F.lit(None).cast("int"))
+    return named.join(ranks, ["article_type", "_name"], "left").drop("_name")
 
 
 def coverage_manifest(
-    kept: DataFrame, queries: DataFrame, start: str | dt.date, end: str | dt.date
+    kept: DataFrame, queries: DataFrame, start: str | dt.date | None = None,
+    end: str | dt.date | None = None, dates: list[str] | None = None,
 ) -> DataFrame:
     """Kept articles per day and query, zeros included, in long form.
 
     ``queries`` lists every query: kind, name, query_rank.  ``kind`` is company or macro
-    and ``name`` the ticker or the macro topic.
+    and ``name`` the ticker or the macro topic.  The days are those from ``start`` to
+    ``end``, or exactly ``dates``.
     """
-    spine = queries.select(F.explode(days_between(start, end)).alias("day"), "*").select(
+    if dates is None:
+        days = days_between(start, end)
+    else:
+        days = F.array(*[F.lit(d).cast("date") for d in sorted(dates)])
+    spine = queries.select(F.explode(days).alias("day"), "*").select(
         F.date_format("day", "yyyy-MM-dd").alias("date"), "kind", "name", "query_rank"
     )
-    name = F.when(F.col("article_type") == "macro", F.col("company")).otherwise(F.col("ticker"))
+    name = query_name()
     counts = kept.groupBy(
         "date", F.col("article_type").alias("kind"), name.alias("name")
     ).agg(F.count(F.lit(1)).alias("n"))
@@ -127,7 +154,7 @@ def ingest_funnel(hits: DataFrame, mode: str = "substring") -> DataFrame:
     looks for the winning query sees at most one row per query.
     """
     flagged = with_dedup_key(hits.withColumn("_rel", _relevant(mode)))
-    name = F.when(F.col("article_type") == "macro", F.col("company")).otherwise(F.col("ticker"))
+    name = query_name()
     per_article = flagged.groupBy(
         "date", "dedup_key", "query_rank", F.col("article_type").alias("kind"), name.alias("name")
     ).agg(F.count(F.lit(1)).alias("fetched"), F.count_if("_rel").alias("relevant"))

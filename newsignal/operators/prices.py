@@ -34,6 +34,23 @@ def price_change(closes: DataFrame) -> DataFrame:
     ).drop("close")
 
 
+def changes_around(closes: DataFrame, first: str, last: str) -> DataFrame:
+    """Changes of all days from ``first`` to ``last``, and of each ticker's next day.
+
+    The close before comes from the last stored day of the ticker, however far back; the
+    next day is included because its change is against the last close of the range.
+    Earlier closes are reduced to one row per ticker before the window sees them.
+    """
+    known = closes.filter("close is not null")
+    before = known.filter(F.col("event_date") < first)
+    last_before = first_per_key(before, ["ticker"], [F.desc("event_date")])
+    inside = known.filter(F.col("event_date").between(first, last))
+    after = known.filter(F.col("event_date") > last)
+    next_day = first_per_key(after, ["ticker"], ["event_date"])
+    rows = last_before.unionByName(inside).unionByName(next_day)
+    return price_change(rows).filter(F.col("event_date") >= first)
+
+
 def price_backfill(
     closes: DataFrame, start: str | dt.date, end: str | dt.date, buffer_days: int = 7
 ) -> DataFrame:

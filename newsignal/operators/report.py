@@ -49,6 +49,14 @@ def facets(mart: DataFrame) -> DataFrame:
     )
 
 
+def _ties(mart: DataFrame, by: str) -> list[str]:
+    """All other columns that can be ordered, ticker and industry first."""
+    plain = [f.name for f in mart.schema if f.dataType.typeName() not in ("map", "variant")]
+    rest = [c for c in plain if c not in (by, "event_date")]
+    first = [c for c in ("ticker", "industry") if c in rest]
+    return first + [c for c in rest if c not in first]
+
+
 def latest_per_entity(
     mart: DataFrame, by: str = "company_name", null_skipping: bool = False,
     tie_breaker: list[str] | None = None,
@@ -56,9 +64,10 @@ def latest_per_entity(
     """Each entity's latest row; rows without an entity are left out.
 
     With ``null_skipping`` every column takes its latest non-null value, so one
-    output row may mix dates.
+    output row may mix dates.  Rows of one date are ordered by ``tie_breaker`` and then by
+    all other columns, so the choice does not depend on the order of the input.
     """
-    ties = tie_breaker or []
+    ties = [*(tie_breaker or []), *[c for c in _ties(mart, by) if c not in (tie_breaker or [])]]
     mart = mart.filter(F.col(by).isNotNull())
     if not null_skipping:
         return first_per_key(mart, [by], [F.desc("event_date"), *ties])
@@ -71,7 +80,10 @@ def latest_per_entity(
 
 
 def rankings(mart: DataFrame, **choice) -> DataFrame:
-    """Latest row per company, rounded for display, best score first."""
+    """Latest row per company, rounded for display, best score first.
+
+    Of several tickers of a company the first one of the latest day counts.
+    """
     latest = latest_per_entity(apply_facets(mart, **choice))
     return latest.select(
         "company_name", "industry", "sentiment_label",
@@ -88,10 +100,12 @@ def kpis(mart: DataFrame, **choice) -> DataFrame:
 
     Each company is first reduced to its latest row and mention total.
     """
-    latest = F.max_by(F.struct("sentiment_label", "sentiment_score"), "event_date")
-    per_company = apply_facets(mart, **choice).groupBy("company_name").agg(
-        latest.alias("latest"), F.sum("mention_count").alias("mentions")
+    chosen = apply_facets(mart, **choice)
+    by_company = chosen.groupBy("company_name").agg(F.sum("mention_count").alias("mentions"))
+    latest = latest_per_entity(chosen).select(
+        "company_name", F.struct("sentiment_label", "sentiment_score").alias("latest")
     )
+    per_company = by_company.join(latest, "company_name", "left")
     named = F.col("company_name").isNotNull()
     label = F.when(named, F.col("latest.sentiment_label"))
     return per_company.agg(
@@ -122,7 +136,7 @@ def entity_trend(mart: DataFrame, **choice) -> DataFrame:
 def entity_detail(mart: DataFrame, company: str, **choice) -> DataFrame:
     """The chosen company's latest row."""
     chosen = apply_facets(mart, company=company, **choice)
-    return chosen.orderBy(F.desc("event_date")).limit(1)
+    return chosen.orderBy(F.desc("event_date"), *_ties(chosen, "company_name")).limit(1)
 
 
 def overlay(corr: DataFrame, prices: DataFrame) -> DataFrame:

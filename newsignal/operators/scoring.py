@@ -6,6 +6,7 @@ list of texts to an N x 3 array of positive, negative and neutral probabilities.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -13,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newsignal.functions import numeric, text
-from newsignal.operators.clean import not_stored
+from newsignal.operators.clean import first_per_key, not_stored
 
 Scorer = Callable[[Sequence[str]], np.ndarray]
 PROBABILITIES = ["prob_positive", "prob_negative", "prob_neutral"]
@@ -101,12 +102,21 @@ def score_with_model(
     """Scores every row with a Python model.
 
     Only the text crosses to Python; the other columns wait in the JVM.  The model is
-    loaded once per task and gets ``batch_size`` texts at a time.
+    loaded once per Python worker, which serves many tasks, and gets ``batch_size`` texts
+    at a time.
     """
+    name = f"newsignal-model-{uuid.uuid4().hex}"
 
     @F.pandas_udf(", ".join(f"{p} double" for p in PROBABILITIES))
     def probabilities(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        score = factory()
+        import sys
+        import types
+
+        # A worker forgets what a task defines, but not what stands among its modules.
+        models = sys.modules.setdefault("newsignal_models", types.ModuleType("newsignal_models"))
+        if not hasattr(models, name):
+            setattr(models, name, factory())
+        score = getattr(models, name)
         for texts in batches:
             parts = [
                 score(texts.iloc[i : i + batch_size].tolist())
@@ -121,22 +131,31 @@ def score_with_model(
     )
 
 
+def _scores_of(scores: DataFrame, model_version: str, dates: list[str] | None) -> DataFrame:
+    of_model = scores.filter(F.col("model_version") == model_version)
+    return of_model if dates is None else of_model.filter(F.col("date").cast("string").isin(dates))
+
+
 def pending_articles(
-    articles: DataFrame, scores: DataFrame, model_version: str, key: str = "dedup_key"
+    articles: DataFrame, scores: DataFrame, model_version: str, key: str = "dedup_key",
+    dates: list[str] | None = None,
 ) -> DataFrame:
-    """Articles that this model version has not scored yet."""
-    done = scores.filter(F.col("model_version") == model_version)
-    return not_stored(articles, done, [key])
+    """Articles that this model version has not scored yet.
+
+    ``dates`` are the dates of the articles, where they are known: scores of other dates
+    are then not read.
+    """
+    return not_stored(articles, _scores_of(scores, model_version, dates), [key])
 
 
 def attach_scores(
-    mentions: DataFrame, scores: DataFrame, model_version: str, key: str = "dedup_key"
+    mentions: DataFrame, scores: DataFrame, model_version: str, key: str = "dedup_key",
+    dates: list[str] | None = None,
 ) -> DataFrame:
-    """Joins one score per article back to its mentions."""
-    wanted = scores.filter(F.col("model_version") == model_version).select(
-        key, "sentiment_label", "sentiment_score", *PROBABILITIES
-    )
-    return mentions.join(wanted, key)
+    """Joins one score per article back to its mentions; copies of a score count once."""
+    columns = ["sentiment_label", "sentiment_score", *PROBABILITIES]
+    wanted = _scores_of(scores, model_version, dates).select(key, *columns)
+    return mentions.join(first_per_key(wanted, [key], columns), key)
 
 
 def label_distribution(scored: DataFrame) -> DataFrame:

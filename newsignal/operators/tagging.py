@@ -1,8 +1,9 @@
 """Tag articles with the entities of a dictionary table.
 
-Two ways give the same tags.  A small dictionary becomes one expression per entity and
-needs no shuffle.  A large one is joined on a word of each name (its *anchor*), and
-only the candidates found that way are checked against the text.
+The dictionary, of any size, is joined on a word of each name (its *anchor*), and only
+the candidates found that way are checked against the text.  A caller who knows that the
+dictionary is short can ask for one expression per entity instead, which needs no
+shuffle.  Both give the same sorted tags.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 from newsignal.functions import text
 
 MACRO = "MACRO"
-MAX_EXPRESSION_ENTITIES = 200
 
 
 def _no_tags() -> Column:
@@ -58,7 +58,7 @@ def match_by_expression(articles: DataFrame, entities: Sequence[Row]) -> DataFra
         if entity["symbol_is_safe"] and _has_word(entity["ticker"]):
             found = found | _found(raw, entity["ticker"])
         hits.append(F.when(found, F.lit(entity["ticker"])))
-    matches = F.array_distinct(F.array_compact(F.array(*hits))) if hits else _no_tags()
+    matches = F.array_sort(F.array_distinct(F.array_compact(F.array(*hits)))) if hits else _no_tags()
     return (
         articles.withColumn("_text", text.match_text(F.col("title"), F.col("description")))
         .withColumn("_lower", F.lower("_text"))
@@ -89,14 +89,17 @@ def _targets(entities: DataFrame) -> DataFrame:
     )
     shared = words.groupBy("word").agg(F.count(F.lit(1)).alias("_n"))
     rank = F.struct("_n", -F.length("word"), "word")
-    return words.join(shared, "word").groupBy(*target).agg(F.min_by("word", rank).alias("anchor"))
+    anchored = words.join(shared, "word").groupBy(*target).agg(F.min_by("word", rank).alias("anchor"))
+    return anchored.withColumn("pattern", text.bounded_pattern_of(F.col("needle")))
 
 
 def match_by_anchor(articles: DataFrame, entities: DataFrame, key: str = "dedup_key") -> DataFrame:
-    """``match_by_expression`` for dictionaries of any size; ``key`` is unique per article.
+    """Adds ``text_matches`` for dictionaries of any size; ``key`` is unique per article.
 
-    Only (key, word) pairs take part in the dictionary join, never the text.  Spark
-    broadcasts the dictionary when it is small and splits frequent words when not.
+    Only (key, word) pairs take part in the dictionary join.  Spark broadcasts the
+    dictionary when it is small and splits frequent words when not.  The articles then
+    meet their candidates by key: where there are too many candidates to broadcast, each
+    text is shuffled once.
     """
     body = text.match_text(F.col("title"), F.col("description"))
     words = articles.select(
@@ -105,14 +108,12 @@ def match_by_anchor(articles: DataFrame, entities: DataFrame, key: str = "dedup_
     candidates = (
         words.join(_targets(entities), "anchor")
         .groupBy(key)
-        .agg(F.collect_set(F.struct("ticker", "needle", "exact_case")).alias("_cand"))
+        .agg(F.collect_set(F.struct("ticker", "needle", "exact_case", "pattern")).alias("_cand"))
     )
 
     def confirmed(c: Column) -> Column:
         where = F.when(c["exact_case"], F.col("_text")).otherwise(F.col("_lower"))
-        return F.contains(where, c["needle"]) & F.rlike(
-            where, text.bounded_pattern_of(c["needle"])
-        )
+        return F.contains(where, c["needle"]) & F.rlike(where, c["pattern"])
 
     return (
         articles.join(candidates, key, "left")
@@ -122,8 +123,10 @@ def match_by_anchor(articles: DataFrame, entities: DataFrame, key: str = "dedup_
             "text_matches",
             _once(
                 F.coalesce(
-                    F.array_distinct(
-                        F.transform(F.filter("_cand", confirmed), lambda c: c["ticker"])
+                    F.array_sort(
+                        F.array_distinct(
+                            F.transform(F.filter("_cand", confirmed), lambda c: c["ticker"])
+                        )
                     ),
                     _no_tags(),
                 )
@@ -133,19 +136,9 @@ def match_by_anchor(articles: DataFrame, entities: DataFrame, key: str = "dedup_
     )
 
 
-def match_entities(
-    articles: DataFrame, entities: DataFrame, key: str = "dedup_key",
-    max_expression: int = MAX_EXPRESSION_ENTITIES,
-) -> DataFrame:
-    """Counts the dictionary, up to the limit, and takes the fitting way.
-
-    This is the one operator with an action: it reads at most ``max_expression + 1``
-    dictionary rows.
-    """
-    rows = entities.limit(max_expression + 1).collect()
-    if len(rows) > max_expression:
-        return match_by_anchor(articles, entities, key)
-    return match_by_expression(articles, rows)
+def match_entities(articles: DataFrame, entities: DataFrame, key: str = "dedup_key") -> DataFrame:
+    """The one way for dictionaries of every size, as a lazy plan."""
+    return match_by_anchor(articles, entities, key)
 
 
 def combine_tags(matched: DataFrame) -> DataFrame:

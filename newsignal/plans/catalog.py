@@ -145,7 +145,7 @@ def line_corr(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- Articles --------------------------------------------------------------------------
 
-ARTICLE_ORDER = "date, publishedAt, url, title, description, source, ticker"
+ARTICLE_ORDER = ", ".join(clean.ARTICLE_ORDER)
 CLEAN_COLUMNS = "dedup_key, date, publishedAt, source, title, description, url, ticker"
 
 
@@ -302,10 +302,31 @@ def _sql_tag(ticker: str, full: str, short: str, _industry: str, safe: bool) ->
     return f"CASE WHEN {' OR '.join(found)} THEN '{ticker}' END"
 
 
-MATCHES = f"""
+CLEANED = f"""
 cleaned AS MATERIALIZED (
   SELECT * FROM (SELECT *, {d.KEY_SQL} AS dedup_key FROM articles WHERE title IS NOT NULL)
-  QUALIFY row_number() OVER (PARTITION BY dedup_key ORDER BY {ARTICLE_ORDER}) = 1),
+  QUALIFY row_number() OVER (PARTITION BY dedup_key ORDER BY {ARTICLE_ORDER}) = 1)"""
+# What the daily job lands: the relevant articles of a day, each from its first query.
+INGESTED = f"""
+query_list AS (
+  SELECT 'company' AS kind, ticker AS name, query_rank FROM word_entities
+  UNION ALL SELECT * FROM (VALUES {d._values([("macro", t, 1_000_000 + i) for i, t in enumerate(d.TOPICS)])})),
+landed AS MATERIALIZED (
+  SELECT * FROM (
+    SELECT a.*, query_rank, {d.KEY_SQL} AS dedup_key FROM articles a
+    LEFT JOIN query_list ON kind = article_type
+      AND name = CASE WHEN article_type = 'macro' THEN company ELSE ticker END
+    WHERE article_type = 'macro'
+      OR contains(lower(coalesce(title, '')), lower(company))
+      OR contains(lower(coalesce(title, '')), lower(ticker))
+      OR contains(lower(coalesce(description, '')), lower(company))
+      OR contains(lower(coalesce(description, '')), lower(ticker)))
+  QUALIFY row_number() OVER (PARTITION BY date, dedup_key ORDER BY query_rank NULLS LAST, {ARTICLE_ORDER}) = 1),
+cleaned AS MATERIALIZED (
+  SELECT * FROM landed WHERE title IS NOT NULL
+  QUALIFY row_number() OVER (
+    PARTITION BY dedup_key ORDER BY date, query_rank NULLS LAST, {ARTICLE_ORDER}) = 1)"""
+TAGGED = f"""
 bodies AS MATERIALIZED (
   SELECT *, coalesce(title, '') || ' ' || coalesce(description, '') AS body, lower(body) AS low
   FROM cleaned),
@@ -320,6 +341,7 @@ mentions AS (
   SELECT c.* EXCLUDE (ticker), t.tag AS ticker, coalesce(full_name, t.tag) AS company_name,
     coalesce(industry, 'Unknown') AS industry
   FROM cleaned c JOIN tags t USING (dedup_key) LEFT JOIN word_entities e ON e.ticker = t.tag)"""
+MATCHES = CLEANED + "," + TAGGED
 TAG_CTE = with_(d.WORD_ENTITIES_SQL, d.ARTICLES_SQL, MATCHES)
 
 
@@ -337,17 +359,22 @@ def mentions(spark: SparkSession, sf: str) -> DataFrame:
     return tagging.explode_mentions(tagged_articles(spark, sf), d.word_entities(spark))
 
 
-@query("entity_tag", TAG_CTE + "SELECT dedup_key, tag AS ticker FROM text_matches")
+MATCH_LISTS = TAG_CTE + """SELECT dedup_key, coalesce(tickers, '') AS tickers FROM cleaned
+  LEFT JOIN (SELECT dedup_key, string_agg(tag, ',' ORDER BY tag) AS tickers FROM text_matches
+    GROUP BY dedup_key) USING (dedup_key)"""
+
+
+@query("entity_tag", MATCH_LISTS)
 def entity_tag(spark, sf):
     rows = d.word_entities(spark).collect()
     tagged = tagging.match_by_expression(cleaned_articles(spark, sf), rows)
-    return tagged.select("dedup_key", F.explode("text_matches").alias("ticker"))
+    return tagged.select("dedup_key", F.array_join("text_matches", ",").alias("tickers"))
 
 
-@query("entity_tag_by_anchor", TAG_CTE + "SELECT dedup_key, tag AS ticker FROM text_matches")
+@query("entity_tag_by_anchor", MATCH_LISTS)
 def entity_tag_by_anchor(spark, sf):
     tagged = tagging.match_by_anchor(cleaned_articles(spark, sf), d.word_entities(spark))
-    return tagged.select("dedup_key", F.explode("text_matches").alias("ticker"))
+    return tagged.select("dedup_key", F.array_join("text_matches", ",").alias("tickers"))
 
 
 @query("entity_mentions", TAG_CTE + f"SELECT {', '.join(schemas.TAGGED.names)} FROM mentions")
@@ -483,8 +510,11 @@ def label_distribution(spark, sf):
 def incremental_scoring(spark, sf):
     """Scores the first 20 days, then everything, then all again with a new model."""
     path = scratch_dir(spark, "scores")
-    articles = cleaned_articles(spark, sf)
-    texts = scoring.with_scoring_text(articles).select("dedup_key", "date", "text")
+    stored = f"{path}-texts"
+    sinks.replace_dataset(
+        scoring.with_scoring_text(cleaned_articles(spark, sf)).select("dedup_key", "date", "text"), stored
+    )
+    texts = articles = tables.read_parquet(spark, stored)
     runs = [
         (texts.filter(F.col("date") <= "2024-01-20"), MODEL),
         (texts, MODEL), (texts, MODEL), (texts, "words-2"),
@@ -492,8 +522,11 @@ def incremental_scoring(spark, sf):
     for batch, version in runs:
         known = sinks.stored_or_none(spark, path)
         todo = batch if known is None else scoring.pending_articles(batch, known, version)
-        scored = _score(todo.select("dedup_key", "text")).drop("text")
+        scored = _score(todo).drop("text")
         sinks.append_scores(scored.withColumn("model_version", F.lit(version)), path)
+    # An overlapping run appends scores that are there already.
+    again = _score(texts.filter(F.col("date") <= "2024-01-05")).drop("text")
+    sinks.append_scores(again.withColumn("model_version", F.lit(MODEL)), path)
     scores = tables.read_parquet(spark, path)
     both = [
         scoring.attach_scores(articles.select("dedup_key", "date"), scores, v)
@@ -942,8 +975,7 @@ def json_articles(spark, sf):
         payload, F.col("date"), F.col("ticker"), F.col("company"), F.col("article_type")
     )
     sinks.write_day_files(flat, path)
-    back = article_files.read_articles(spark, path, "*.json", multi_line=False)
-    return back.filter("_corrupt_record is null").drop("_corrupt_record")
+    return article_files.good_articles(article_files.read_day_files(spark, path))
 
 
 @query(
@@ -963,9 +995,8 @@ def incremental_landing(spark, sf):
     files = article_files.landing_files(spark, folders, "*.json", "/date=")
     loaded = rows.filter(F.col("date") <= "2024-01-10")
     todo = article_files.new_landing_files(files, loaded)
-    paths = [r["path"] for r in todo.select("path").toLocalIterator()]
-    back = article_files.read_articles(spark, paths, "*.json", multi_line=False)
-    where = F.col("_metadata.file_path")
+    back = article_files.read_landed(spark, todo, pattern="*.json", multi_line=False)
+    where = F.col("_file")
     return back.select(
         text.path_date(where, "/date=").alias("date"),
         F.regexp_extract(where, "/(first|second)/date=", 1).alias("folder"),
@@ -1141,7 +1172,8 @@ def stream_ingest(spark, sf):
             f"{base}/raw"
         )
         stream = ingest.article_stream(spark, f"{base}/raw", "*.json", multi_line=False)
-        ingest.store_stream(stream, f"{base}/store", f"{base}/state").awaitTermination()
+        for query in ingest.store_articles(stream, f"{base}/store", f"{base}/bad", f"{base}/state"):
+            query.awaitTermination()
     back = tables.read_partitioned(spark, f"{base}/store", "date")
     return schemas.align_to(back, schemas.ARTICLE)
 
@@ -1169,7 +1201,7 @@ def stream_daily(spark, sf):
     daily = stream_daily_ops.daily_stream(_event_stream(spark, path, schema), lateness="60 days")
     out = f"{path}/../out"
     stream_daily_ops.store_updates(daily, out, f"{path}/../state").awaitTermination()
-    return stream_daily_ops.current_state(spark.read.parquet(out))
+    return stream_daily_ops.current_state(spark, out)
 
 
 @query("stream_mart_refresh", EVENT_DAILY)
@@ -1203,20 +1235,25 @@ def news_inputs(spark: SparkSession, sf: str) -> Inputs:
     return Inputs(raw_articles(spark, sf), closes, entities, query_table(entities, d.TOPICS))
 
 
-NEWS_SQL = with_(
-    d.WORD_ENTITIES_SQL, d.ARTICLES_SQL, MATCHES, SCORED,
-    f"""word_closes AS (
+CLOSES = f"""word_closes AS (
       SELECT {d._pick([e[0] for e in d.WORD_ENTITIES], f'user_id % {len(d.WORD_ENTITIES)} + 1')}
         AS ticker, strftime(ts, '%Y-%m-%d') AS event_date,
-        sum(round(value * 1e2)) / count(value) / 1e2 AS close FROM events GROUP BY ALL),
-    word_changes AS (
+        sum(round(value * 1e2)) / count(value) / 1e2 AS close FROM events GROUP BY ALL)"""
+
+
+def news_sql(*parts: str, closes: str = "word_closes") -> str:
+    """The SQL of all stages behind ``parts``, which end with ``scores``."""
+    return with_(
+        *parts, CLOSES,
+        f"""word_changes AS (
       SELECT *, (close / nullif(lag(close) OVER (PARTITION BY ticker ORDER BY event_date), 0)
-        - 1e0) * 1e2 AS pct FROM word_closes),
+        - 1e0) * 1e2 AS pct FROM {closes}),
     word_prices AS (
       SELECT ticker, event_date, ({d.even_units('(close * 1e4)')}) / 1e4 AS close_price,
         coalesce({d.even_units('(pct * 1e4)')}, 0) AS pct_e4 FROM word_changes),
     line_mentions AS (
-      SELECT m.ticker, m.company_name, m.industry, m.date AS event_date,
+      SELECT m.dedup_key, m.publishedAt, m.title, sentiment_label, m.ticker, m.company_name,
+        m.industry, m.date AS event_date,
         CAST(CASE WHEN pp = pn THEN 0 ELSE round((pp - pn) * 1e4) END AS BIGINT) AS e4
       FROM mentions m JOIN scores USING (dedup_key)),
     daily_even AS (
@@ -1226,8 +1263,12 @@ NEWS_SQL = with_(
     joined AS (
       SELECT s.*, close_price, pct_e4, pct_e4 / 1e4 AS price_change_pct
       FROM daily_even s JOIN word_prices USING (ticker, event_date))""",
-    CORR,
-)
+        CORR,
+    )
+
+
+NEWS_SQL = news_sql(d.WORD_ENTITIES_SQL, d.ARTICLES_SQL, MATCHES, SCORED)
+RUN_SQL = news_sql(d.WORD_ENTITIES_SQL, d.ARTICLES_SQL, INGESTED, TAGGED, SCORED)
 NEWS_OUT = f"""SELECT ticker, event_date, sentiment_score,
   CASE WHEN price_change_pct = 0 THEN 0e0 ELSE price_change_pct END AS price_change_pct,
   {NO_MINUS_ZERO} AS correlation_7d FROM corr"""
@@ -1241,7 +1282,7 @@ def news_to_correlation(spark, sf):
     return frames["sentiment_price_correlation"].select(*NEWS_COLUMNS.split(", "))
 
 
-@query("daily_run", NEWS_SQL + NEWS_OUT)
+@query("daily_run", RUN_SQL + NEWS_OUT)
 def daily_run(spark, sf):
     """The published correlation mart after two runs, the second one repeated."""
     database = fresh_marts(spark)

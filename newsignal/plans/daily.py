@@ -2,27 +2,44 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from newsignal import schemas
+from newsignal.functions.dates import lookback
 from newsignal.operators import (
-    aggregate, clean, correlate, coverage, prices, scoring, tagging,
+    aggregate, clean, correlate, coverage, prices, quality, scoring, tagging,
 )
-from newsignal.sources import sinks, tables
+from newsignal.sources import articles as article_files, sinks, tables
 
 HEADLINE_ORDER = ["publishedAt", "dedup_key"]
+MENTION = [*schemas.SCORED.names, "publishedAt"]
 
 
 @dataclass
 class Inputs:
+    """``articles`` may hold broken records (see ``sources.articles``); ``closes`` may have
+    a column ``version``, of which the largest counts for a ticker and day."""
+
     articles: DataFrame
     closes: DataFrame
     entities: DataFrame
     queries: DataFrame | None = None  # kind, name, query_rank; for the coverage manifest
 
 
+def full_days(today: dt.date, days: int) -> list[str]:
+    """The last ``days`` full days, oldest first: the dates of a scheduled run."""
+    first, last = lookback(today, days)
+    return [str(first + dt.timedelta(days=i)) for i in range((last - first).days + 1)]
+
+
+def close_order(closes: DataFrame) -> list:
+    return [F.desc("version"), F.desc("close")] if "version" in closes.columns else [F.desc("close")]
+
+
 def daily_frames(
     inputs: Inputs,
     score: Callable[[DataFrame], DataFrame] = scoring.score_by_words,
@@ -30,9 +47,10 @@ def daily_frames(
 ) -> dict[str, DataFrame]:
     """All stages as lazy frames, from clean articles to the correlation summary.
 
-    An article is scored once, before it is spread over the companies it mentions.
+    A preview: the frames share nothing, so each one that is run computes what stands
+    before it again.  ``run_day`` stores every stage instead.
     """
-    cleaned = clean.clean_articles(inputs.articles)
+    cleaned = clean.clean_articles(article_files.good_articles(inputs.articles))
     tagged = tagging.combine_tags(tagging.match_entities(cleaned, inputs.entities))
     relevant = tagged.filter(F.size("matched_tickers") > 0)
     scored = score(scoring.with_scoring_text(relevant)).drop("text")
@@ -40,9 +58,7 @@ def daily_frames(
         "date", "event_date"
     )
     closes = tables.normalize_closes(inputs.closes, inputs.entities)
-    price_rows = prices.price_change(
-        prices.one_close_per_day(closes, ["close"])
-    )
+    price_rows = prices.price_change(prices.one_close_per_day(closes, close_order(closes)))
     mart = aggregate.sentiment_mart(mentions, HEADLINE_ORDER, label_rule)
     joined = correlate.sentiment_price_join(aggregate.daily_mean(mentions), price_rows)
     corr = correlate.rolling_corr(joined)
@@ -57,73 +73,203 @@ def daily_frames(
     }
 
 
+def ingest(
+    spark: SparkSession, inputs: Inputs, store: str, dates: list[str], mode: str = "substring",
+) -> DataFrame | None:
+    """Lands the relevant articles of the dates, and one manifest per date.
+
+    The raw articles are parsed once, into a staging set.  Broken records, of the dates or
+    of none, go to the quarantine; of the others those that are relevant to their query
+    stay, each with the first query that returned it.  Manifests are counted from what was
+    stored.  Returns them, one row per date.
+    """
+    rows = inputs.articles
+    parsed = article_files.CORRUPT in rows.columns
+    rows = article_files.with_file(rows) if parsed else rows
+    staged = f"{store}/staging/raw"
+    sinks.replace_dataset(rows.filter(F.col("date").isin(dates) | F.col("date").isNull()), staged)
+    raw = spark.read.schema(rows.schema).parquet(staged)
+    if parsed:
+        broken = article_files.broken_records(raw, run=max(dates))
+        sinks.replace_dates(broken, f"{store}/quarantine", [max(dates)], by="run")
+    raw = article_files.good_articles(raw).filter("date is not null").drop("_file")
+    if inputs.queries is None:
+        kept = clean.clean_articles(raw, scope="day")
+    else:
+        kept = coverage.first_wins(coverage.as_hits(raw, inputs.queries), mode)
+    sinks.replace_dates(kept, f"{store}/articles", dates)
+    if inputs.queries is None:
+        return None
+    stored = tables.read_dates(spark, f"{store}/articles", dates)
+    manifest = coverage.coverage_manifest(stored, inputs.queries, dates=dates)
+    documents = coverage.manifest_documents(manifest)
+    sinks.write_manifests(documents, f"{store}/manifests")
+    return documents
+
+
 def run_day(
     spark: SparkSession, inputs: Inputs, store: str, database: str, dates: list[str],
     model_version: str = "words-1",
     score: Callable[[DataFrame], DataFrame] = scoring.score_by_words,
-    label_rule: str = "shares",
-) -> None:
-    """Runs the given consecutive dates and publishes the marts; safe to run again.
+    label_rule: str = "shares", mode: str = "substring",
+) -> dict[str, int]:
+    """Runs the given dates and publishes the marts; safe to run again.
 
-    Each stage is written below ``store`` and read back, so a lost executor repeats
-    one stage only, and nothing is computed twice.  Only the correlation looks at
-    other dates: it reads the stored company-days and prices, which are small.
+    Each stage is written below ``store`` and read back, so a lost executor repeats one
+    stage only.  A stage replaces exactly its dates, those without rows included.  Besides
+    the dates, the next stored price of each ticker and all later correlations are
+    renewed.  Each run adds a row per date to the run log, also when it fails.  Returns
+    the rows written by each stage, as the writes themselves observed them.
     """
-    first, last = min(dates), max(dates)
+    dates = sorted(dates)
+    rows: dict[str, int] = {}
+    try:
+        documents = ingest(spark, inputs, store, dates, mode)
+        rows |= _publish(spark, inputs, store, database, dates, model_version, score, label_rule)
+        checks = run_checks(spark, store, database, dates)
+        failed = [r["check"] for r in checks.filter("not ok").collect()]
+    except Exception as e:
+        _log(spark, database, dates, "failed", f"{type(e).__name__}: {e}"[:2000])
+        raise
+    notes = "; ".join(f"check failed: {c}" for c in failed)
+    if documents is not None:
+        sinks.append_runs(coverage.run_rows(documents, errors=notes), database)
+    else:
+        _log(spark, database, dates, "success", notes)
+    return rows
 
-    def stage(name: str, date: str = "date") -> DataFrame:
-        rows = tables.read_partitioned(spark, f"{store}/{name}", date)
-        return rows.filter(F.col(date).isin(dates))
 
-    day_articles = inputs.articles.filter(F.col("date").isin(dates))
-    if inputs.queries is not None:
-        manifest = coverage.coverage_manifest(day_articles, inputs.queries, first, last)
-        documents = coverage.manifest_documents(manifest)
-        sinks.write_manifests(documents, f"{store}/manifests")
+def _log(spark: SparkSession, database: str, dates: list[str], status: str, errors: str) -> None:
+    runs = spark.createDataFrame([(d, status, 0, [], errors) for d in dates], schemas.RUN)
+    sinks.append_runs(runs, database)
+
+
+def _publish(
+    spark: SparkSession, inputs: Inputs, store: str, database: str, dates: list[str],
+    model_version: str, score: Callable[[DataFrame], DataFrame], label_rule: str,
+) -> dict[str, int]:
+    """The stages behind ingest."""
+    rows: dict[str, int] = {}
+
+    def stage(name: str, date: str = "date") -> DataFrame:
+        return tables.read_dates(spark, f"{store}/{name}", dates, date)
 
-    staged = f"{store}/staging/clean"
-    sinks.replace_dataset(clean.clean_articles(day_articles), staged)
-    sinks.append_new(spark.read.parquet(staged), f"{store}/clean", dates=dates)
+    cleaned = clean.clean_articles(stage("articles").drop("dedup_key"))
+    history = sinks.stored_or_none(spark, f"{store}/clean")
+    if history is not None:
+        other = history.filter(~F.col("date").cast("string").isin(dates))
+        cleaned = clean.not_stored(cleaned, other, ["dedup_key"])
+    rows["clean"] = sinks.replace_dates(cleaned, f"{store}/clean", dates)
 
     tagged = tagging.combine_tags(tagging.match_entities(stage("clean"), inputs.entities))
-    sinks.write_partitions(
-        tagged.filter(F.size("matched_tickers") > 0), f"{store}/tagged", "date"
+    relevant = scoring.with_scoring_text(tagged.filter(F.size("matched_tickers") > 0))
+    rows["tagged"] = sinks.replace_dates(
+        relevant.select("dedup_key", "date", "publishedAt", "title", "url", "text", "matched_tickers"),
+        f"{store}/tagged", dates,
     )
 
     scores_path = f"{store}/scores"
     known = sinks.stored_or_none(spark, scores_path)
-    texts = scoring.with_scoring_text(stage("tagged")).select("dedup_key", "text")
+    texts = stage("tagged").select("dedup_key", "date", "text")
     if known is not None:
-        texts = scoring.pending_articles(texts, known, model_version)
+        texts = scoring.pending_articles(texts, known, model_version, dates=dates)
     fresh = score(texts).drop("text").withColumn("model_version", F.lit(model_version))
     sinks.append_scores(fresh, scores_path)
 
-    scores = tables.read_parquet(spark, scores_path)
-    scored = scoring.attach_scores(stage("tagged"), scores, model_version)
-    sinks.write_partitions(
-        tagging.explode_mentions(scored, inputs.entities).withColumnRenamed(
-            "date", "event_date"
-        ),
-        f"{store}/mentions",
+    scores = sinks.stored_or_none(spark, scores_path)
+    narrow = stage("tagged").drop("text")
+    if scores is None:  # nothing was ever relevant
+        scored = narrow.limit(0).withColumns(
+            {f.name: F.lit(None).cast(f.dataType) for f in schemas.SCORED if f.name not in narrow.columns}
+        )
+    else:
+        scored = scoring.attach_scores(narrow, scores, model_version, dates=dates)
+    mentions = tagging.explode_mentions(scored, inputs.entities).select(*MENTION)
+    rows["mentions"] = sinks.replace_dates(
+        mentions.withColumnRenamed("date", "event_date"), f"{store}/mentions", dates, "event_date"
     )
     mentions = stage("mentions", "event_date")
-    sinks.overwrite_mart(
+    rows["company_sentiment"] = sinks.overwrite_mart(
         aggregate.sentiment_mart(mentions, HEADLINE_ORDER, label_rule), database,
-        "company_sentiment",
+        "company_sentiment", dates,
+    )
+    rows["daily"] = sinks.replace_dates(
+        aggregate.daily_mean(mentions), f"{store}/daily", dates, "event_date"
     )
-    sinks.write_partitions(aggregate.daily_mean(mentions), f"{store}/daily")
 
-    closes = tables.normalize_closes(inputs.closes, inputs.entities)
-    unique = prices.one_close_per_day(closes, ["close"])
-    sinks.write_partitions(prices.price_backfill(unique, first, last), f"{store}/prices")
-    sinks.overwrite_mart(stage("prices", "event_date"), database, "price_data")
+    closes = inputs.closes.filter(F.col("event_date").cast("string").isin(dates))
+    closes = tables.normalize_closes(closes, inputs.entities)
+    unique = prices.one_close_per_day(closes, close_order(closes))
+    sinks.replace_dates(
+        unique.select("ticker", "industry", F.col("close").cast("double").alias("close"),
+                      F.col("event_date").cast("string").alias("event_date")),
+        f"{store}/closes", dates, "event_date",
+    )
+    all_closes = tables.read_partitioned(spark, f"{store}/closes")
+    early = inputs.closes.filter(F.col("event_date").cast("string") < dates[0])
+    early = tables.normalize_closes(early, inputs.entities)
+    early = prices.one_close_per_day(early, close_order(early)).select(
+        "ticker", "industry", F.col("close").cast("double").alias("close"),
+        F.col("event_date").cast("string").alias("event_date"),
+    )
+    all_closes = all_closes.unionByName(
+        early.join(all_closes.select("ticker", "event_date"), ["ticker", "event_date"], "left_anti")
+    )
+    changed = prices.changes_around(all_closes, dates[0], dates[-1])
+    stored = sinks.stored_or_none(spark, f"{store}/prices")
+    price_days = sorted(
+        {*dates, *(r["event_date"] for r in changed.select("event_date").distinct().collect())}
+    )
+    if stored is not None:  # the next day of one ticker may hold rows of others
+        stored = stored.withColumn("event_date", F.col("event_date").cast("string"))
+        others = stored.filter(F.col("event_date").isin(price_days) & (F.col("event_date") > dates[-1]))
+        changed = changed.unionByName(
+            others.join(changed.select("ticker", "event_date"), ["ticker", "event_date"], "left_anti")
+        )
+    rows["price_data"] = sinks.replace_dates(changed, f"{store}/prices", price_days, "event_date")
+    sinks.overwrite_mart(
+        tables.read_dates(spark, f"{store}/prices", price_days, "event_date"), database,
+        "price_data", price_days,
+    )
 
     joined = correlate.sentiment_price_join(
         tables.read_partitioned(spark, f"{store}/daily"),
         tables.read_partitioned(spark, f"{store}/prices"),
     )
     # Later days look back at the days of this run, so they are renewed as well.
-    renewed = correlate.rolling_corr(joined).filter(F.col("event_date") >= first)
-    sinks.overwrite_mart(renewed, database, "sentiment_price_correlation")
-    if inputs.queries is not None:
-        sinks.append_runs(coverage.run_rows(documents), database)
+    renewed = correlate.rolling_corr(joined).filter(F.col("event_date") >= dates[0])
+    mart = tables.read_mart(spark, database, "sentiment_price_correlation")
+    later = mart.filter(F.col("event_date") >= dates[0]).select("event_date").distinct().collect()
+    rows["correlation"] = sinks.overwrite_mart(
+        renewed, database, "sentiment_price_correlation",
+        sorted({*dates, *price_days, *(r["event_date"] for r in later)}),
+    )
+    return rows
+
+
+def run_checks(spark: SparkSession, store: str, database: str, dates: list[str]) -> DataFrame:
+    """Checks of the stores and marts on the dates of a run: (table, check, ok, detail)."""
+    def check(table: str, df: DataFrame, rules: list[quality.Rule]) -> DataFrame:
+        return quality.expectations(df, rules).select(
+            F.lit(table).alias("table"), F.concat(F.lit(f"{table}."), "check").alias("check"),
+            "ok", "detail",
+        )
+
+    def mart(name: str) -> DataFrame:
+        return tables.read_mart(spark, database, name).filter(F.col("event_date").isin(dates))
+
+    return tables.union_all(
+        [
+            check("articles", tables.read_dates(spark, f"{store}/articles", dates),
+                  [quality.unique_key("date", "dedup_key"), quality.max_nulls("dedup_key")]),
+            check("clean", tables.read_dates(spark, f"{store}/clean", dates),
+                  [quality.unique_key("dedup_key"), quality.max_nulls("title")]),
+            check("mentions", tables.read_dates(spark, f"{store}/mentions", dates, "event_date"),
+                  [quality.unique_key("dedup_key", "ticker"), quality.max_nulls("sentiment_label")]),
+            check("company_sentiment", mart("company_sentiment"),
+                  [quality.unique_key("event_date", "ticker"), quality.max_nulls("sentiment_score")]),
+            check("price_data", mart("price_data"), [quality.unique_key("event_date", "ticker")]),
+            check("sentiment_price_correlation", mart("sentiment_price_correlation"),
+                  [quality.unique_key("event_date", "ticker"), quality.max_nulls("correlation_7d")]),
+        ]
+    )

@@ -119,7 +119,7 @@ articles AS (
       CASE WHEN doc_id % 2 = 0 THEN link ELSE '  ' || upper(link) || ' ' END END AS url
   FROM docs)"""
 KEY_SQL = (
-    "sha256(lower(CASE WHEN length(url) > 0 THEN trim(url) "
+    "sha256(lower(CASE WHEN length(trim(url)) > 0 THEN trim(url) "
     "ELSE coalesce(title, '') || coalesce(source, '') || coalesce(publishedAt, '') END))"
 )
 

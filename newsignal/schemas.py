@@ -52,9 +52,10 @@ SENTIMENT_PRICE_CORRELATION = _struct(
     "ticker company_name industry", sentiment_score=FLOAT, price_change_pct=FLOAT,
     correlation_7d=FLOAT, event_date=STRING,
 )
-PIPELINE_RUNS = _struct(
+RUN = _struct(
     "run_date status", articles_processed=INT, zero_coverage_tickers=STRINGS, errors=STRING
 )
+PIPELINE_RUNS = T.StructType([*RUN.fields, T.StructField("attempt", INT)])
 
 MARTS = {
     "price_data": (PRICE_DATA, "event_date"),

@@ -10,6 +10,8 @@ from newsignal.functions import text
 from newsignal.sources.tables import union_all
 
 NEWS_FILES = "news_*.json"
+CORRUPT = "_corrupt_record"
+WITH_CORRUPT = T.StructType([*schemas.ARTICLE.fields, T.StructField(CORRUPT, T.StringType())])
 
 
 def read_articles(
@@ -21,11 +23,8 @@ def read_articles(
     A broken record keeps its text in ``_corrupt_record``.  Such an array cannot be
     split; ``multi_line=False`` reads files with one record per line, which can.
     """
-    schema = T.StructType(
-        [*schemas.ARTICLE.fields, T.StructField("_corrupt_record", T.StringType())]
-    )
     return (
-        spark.read.schema(schema)
+        spark.read.schema(WITH_CORRUPT)
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("recursiveFileLookup", True)
@@ -34,6 +33,45 @@ def read_articles(
     )
 
 
+def read_day_files(spark: SparkSession, path: str, dates: list[str] | None = None) -> DataFrame:
+    """Articles below ``date=<date>`` folders; only the folders of ``dates`` are read.
+
+    A broken record keeps its text in ``_corrupt_record``.
+    """
+    fields = [f for f in WITH_CORRUPT if f.name != "date"]
+    rows = spark.read.schema(T.StructType([*fields, T.StructField("date", T.StringType())])).option(
+        "mode", "PERMISSIVE"
+    ).json(path)
+    if dates is not None:
+        rows = rows.filter(F.col("date").isin(dates))
+    return rows.select(*WITH_CORRUPT.names)
+
+
+def good_articles(rows: DataFrame) -> DataFrame:
+    """Rows that could be parsed."""
+    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in rows.columns else rows
+
+
+def with_file(rows: DataFrame) -> DataFrame:
+    """Adds ``_file``, the file of each row, to the answer of a reader of this module."""
+    return rows.withColumn("_file", F.col("_metadata.file_path"))
+
+
+def broken_records(rows: DataFrame, run: str = "") -> DataFrame:
+    """Records of ``with_file`` rows that could not be parsed: date, path, text, run.
+
+    The date is the one in the path where the record has none.
+    """
+    name = F.col("_file")
+    date = F.coalesce(
+        F.col("date"), text.path_date(name, "/date="), text.path_date(name, "/news_"), F.lit("unknown")
+    )
+    return rows.filter(F.col(CORRUPT).isNotNull()).select(
+        date.alias("date"),
+        name.alias("path"), F.col(CORRUPT).alias("text"), F.lit(run).alias("run"),
+    )
+
+
 def landing_files(
     spark: SparkSession, folders: list[str], pattern: str = NEWS_FILES, prefix: str = "/news_"
 ) -> DataFrame:
@@ -46,7 +84,7 @@ def landing_files(
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
         .load(folder)
-        .select("path", F.lit(rank).alias("folder_rank"))
+        .select("path", F.col("_metadata.file_path").alias("file"), F.lit(rank).alias("folder_rank"))
         for rank, folder in enumerate(folders)
     ]
     dated = (
@@ -64,11 +102,16 @@ def new_landing_files(files: DataFrame, loaded: DataFrame) -> DataFrame:
 
 
 def read_landed(spark: SparkSession, files: DataFrame, **reading) -> DataFrame:
-    """Articles of the listed files.  Only the file names pass the driver."""
-    paths = [r["path"] for r in files.select("path").toLocalIterator()]
+    """Articles of the listed files, with the text of broken records.
+
+    Their folders are what passes the driver; of other files in them no row is kept.
+    """
+    folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
+    paths = sorted(r["folder"] for r in files.select(folder).distinct().collect())
     if not paths:
-        return spark.createDataFrame([], schemas.ARTICLE)
-    return read_articles(spark, paths, **reading).drop("_corrupt_record")
+        return spark.createDataFrame([], T.StructType([*WITH_CORRUPT.fields, T.StructField("_file", T.StringType())]))
+    rows = with_file(read_articles(spark, paths, **reading))
+    return rows.join(files.select(F.col("file").alias("_file")), "_file", "left_semi")
 
 
 def normalize_payload(

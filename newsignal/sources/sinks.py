@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from newsignal import schemas
 from newsignal.operators.clean import first_per_key, not_stored
@@ -29,6 +31,49 @@ def write_partitions(df: DataFrame, path: str, by: str = "event_date") -> None:
     )
 
 
+def counted(df: DataFrame, by: str) -> tuple[DataFrame, Observation]:
+    """The frame with its row count and its dates observed while it is written."""
+    seen = Observation()
+    dates = F.collect_set(F.col(by).cast("string"))
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), dates.alias("dates")), seen
+
+
+def observed(seen: Observation) -> tuple[int, list[str]]:
+    """Rows and dates of a frame that was written.
+
+    Spark drops the observation with the rest of a plan that it knows to be empty, and
+    has no metrics to give then.
+    """
+    try:
+        metrics = seen.get
+    except Py4JJavaError:
+        return 0, []
+    return metrics["rows"], metrics["dates"]
+
+
+def replace_dates(
+    df: DataFrame, path: str, dates: list[str], by: str = "date", rebalance: bool = True
+) -> int:
+    """Makes the dataset hold exactly the rows of ``df`` on the given dates.
+
+    Other dates stay.  A date without rows is replaced by an empty folder, so what an
+    earlier run wrote there goes.  Returns the rows written, observed by the write itself.
+    """
+    wanted, seen = counted(df.filter(F.col(by).cast("string").isin(dates)), by)
+    writer = wanted.hint("rebalance", by) if rebalance else wanted
+    (
+        writer.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(by).parquet(path)
+    )
+    empty = df.sparkSession.createDataFrame([], T.StructType([f for f in df.schema if f.name != by]))
+    rows, found = observed(seen)
+    for date in sorted(set(dates) - set(found)):
+        empty.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            f"{path}/{by}={date}"
+        )
+    return rows
+
+
 def stored_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """The dataset at the path, or None where nothing was written yet."""
     try:
@@ -60,34 +105,58 @@ def append_new(
     write_partitions(df, path, by)
 
 
-def add_batch(
-    batch: DataFrame, path: str, batch_id: int, key: str, order: list[str],
-    by: str = "event_date",
-) -> None:
-    """Adds a micro-batch's rows whose key no other batch holds, one row per key.
+def merge_dates(
+    batch: DataFrame, path: str, keys: list[str], by: str = "event_date",
+    order: list[str] | None = None,
+) -> DataFrame:
+    """Brings a batch into a dataset partitioned by date, rewriting the dates it touches.
+
+    Without ``order`` the batch has one row per key, which replaces the stored one.  With
+    it the stored row of a key stays, and of several new rows the first in the order is
+    taken.  A batch that is retried gives the same dataset.  Returns the touched dates.
+    """
+    spark = batch.sparkSession
+    batch = batch.withColumn(by, F.col(by).cast("string")).persist()
+    try:
+        touched = batch.select(by).distinct()
+        dates = spark.createDataFrame([(r[by],) for r in touched.collect()], f"{by} string")
+        rows = batch if order is None else first_per_key(batch, list(dict.fromkeys([by, *keys])), order)
+        stored = stored_or_none(spark, path)
+        if stored is not None:
+            stored = stored.withColumn(by, F.col(by).cast("string")).join(dates, by, "left_semi")
+            one = list(dict.fromkeys([by, *keys]))
+            if order is None:
+                rows = rows.unionByName(stored.join(rows.select(*one), one, "left_anti"))
+            else:
+                rows = stored.unionByName(not_stored(rows, stored, one))
+        write_partitions(rows, path, by)
+    finally:
+        batch.unpersist()
+    return dates
+
+
+def append_scores(scored: DataFrame, path: str, key: str = "dedup_key") -> None:
+    """Adds scores of articles that ``pending_articles`` found unscored.
 
-    Copies of a key share their date, so only stored rows of the batch's dates are
-    read.  The rows are kept under the batch's number: a retry replaces them.
+    Scores are kept by model version and article date.  The partitions that get rows are
+    rewritten with one row per key, whatever they held: a repeated or overlapping run
+    leaves no second score.
     """
-    rows = first_per_key(batch, [by, key], order)
-    stored = stored_or_none(batch.sparkSession, path)
+    parts = ["model_version", "date"]
+    stored = stored_or_none(scored.sparkSession, path)
+    rows = scored.withColumn("_old", F.lit(1))
     if stored is not None:
-        rows = not_stored(rows, stored.filter(F.col("batch_id") != batch_id), [by, key])
+        touched = scored.select(*parts).distinct()
+        old = stored.withColumn("date", F.col("date").cast("string")).join(touched, parts, "left_semi")
+        rows = rows.unionByName(old.withColumn("_old", F.lit(0)))
+    values = [c for c in scored.columns if c not in (key, *parts)]
+    one = first_per_key(rows, [*parts, key], ["_old", *values]).drop("_old")
     (
-        rows.withColumn("batch_id", F.lit(batch_id))
-        .hint("rebalance", by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(by, "batch_id")
-        .parquet(path)
+        one.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*parts).parquet(path)
     )
 
 
-def append_scores(scored: DataFrame, path: str) -> None:
-    """Adds scores of articles that ``pending_articles`` found unscored."""
-    scored.write.mode("append").partitionBy("model_version").parquet(path)
-
-
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """Replaces only partitions that are written; tables take this from the session."""
@@ -100,14 +169,30 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def overwrite_mart(df: DataFrame, database: str, table: str) -> None:
-    """Replaces the mart's dates that are in ``df``; columns are matched by name."""
+def overwrite_mart(
+    df: DataFrame, database: str, table: str, dates: list[str] | None = None
+) -> int:
+    """Replaces the mart's dates that are in ``df``; columns are matched by name.
+
+    With ``dates`` exactly these are replaced: one of them without rows loses its
+    partition.  Returns the rows written.
+    """
     schema, partition = schemas.MARTS[table]
     rows = schemas.align_to(df, schema)
-    if partition:
-        rows = rows.hint("rebalance", partition)
-    with _dynamic_overwrite(df.sparkSession):
+    if not partition:
         rows.write.insertInto(f"{database}.{table}", overwrite=True)
+        return -1
+    if dates is not None:
+        rows = rows.filter(F.col(partition).isin(dates))
+    rows, seen = counted(rows, partition)
+    with _dynamic_overwrite(df.sparkSession):
+        rows.hint("rebalance", partition).write.insertInto(f"{database}.{table}", overwrite=True)
+    written, found = observed(seen)
+    for date in sorted(set(dates or []) - set(found)):
+        df.sparkSession.sql(
+            f"ALTER TABLE {database}.{table} DROP IF EXISTS PARTITION ({partition} = '{date}')"
+        )
+    return written
 
 
 def log_run(
@@ -117,16 +202,31 @@ def log_run(
 ) -> None:
     """Adds one row to the run log."""
     row = Row(run_date, status, int(articles_processed), zero_coverage_tickers or [], errors)
-    append_runs(spark.createDataFrame([row], schemas.PIPELINE_RUNS), database)
+    append_runs(spark.createDataFrame([row], schemas.RUN), database)
 
 
 def append_runs(runs: DataFrame, database: str) -> None:
-    schemas.align_to(runs, schemas.PIPELINE_RUNS).write.insertInto(f"{database}.pipeline_runs")
+    """Adds runs to the log, each as the next attempt of its date."""
+    before = runs.sparkSession.table(f"{database}.pipeline_runs").groupBy("run_date").agg(
+        F.max("attempt").alias("_last")
+    )
+    numbered = runs.join(before, "run_date", "left").withColumn(
+        "attempt", F.coalesce("_last", F.lit(0)) + 1
+    )
+    schemas.align_to(numbered, schemas.PIPELINE_RUNS).write.insertInto(f"{database}.pipeline_runs")
 
 
 def write_day_files(articles: DataFrame, path: str) -> None:
-    """Articles as JSON, one record per line so that large days can be split."""
-    articles.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    """Articles as JSON, one record per line so that large days can be split.
+
+    A day has a folder ``date=<date>`` that ``read_day_files`` finds.  Days in ``articles``
+    are replaced as a whole; other days stay.
+    """
+    (
+        articles.hint("rebalance", "date").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", "false")
+        .partitionBy("date").json(path)
+    )
 
 
 def write_manifests(documents: DataFrame, path: str) -> None:

@@ -14,8 +14,11 @@ from newsignal.functions import text
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
-    """All parquet files below the paths as one frame."""
-    return spark.read.parquet(*paths)
+    """All parquet files below the paths as one frame.
+
+    Files may differ in columns; those a file lacks are null.
+    """
+    return spark.read.option("mergeSchema", True).parquet(*paths)
 
 
 def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
@@ -41,6 +44,11 @@ def read_partitioned(spark: SparkSession, path: str, date: str = "event_date") -
     return df.withColumn(date, F.col(date).cast("string"))
 
 
+def read_dates(spark: SparkSession, path: str, dates: list[str], date: str = "date") -> DataFrame:
+    """The given dates of a dataset partitioned by date; only their folders are read."""
+    return read_partitioned(spark, path, date).filter(F.col(date).isin(dates))
+
+
 def with_path_date(df: DataFrame, date: str = "event_date") -> DataFrame:
     """Sets the date from the ``<date>=YYYY-MM-DD`` part of each row's file path."""
     return df.withColumn(date, text.path_date(F.col("_metadata.file_path"), f"{date}="))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newsignal.functions import numeric
-from newsignal.operators.clean import first_per_key
+from newsignal.sources import sinks, tables
 
 
 def daily_stream(
@@ -34,20 +34,18 @@ def daily_stream(
     )
 
 
-def store_updates(daily: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Writes every changed company-day of a batch to that batch's own folder.
+def store_updates(
+    daily: DataFrame, path: str, checkpoint: str, keys: list[str] | None = None
+) -> StreamingQuery:
+    """Keeps the current state of every company-day, one set of files per date.
 
-    A batch that is retried replaces its folder.
+    A batch rewrites the dates it changes, so nothing grows with the number of batches,
+    and a batch that is retried writes the same rows.
     """
+    keys = keys or ["event_date", "ticker"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (
-            batch.withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(path)
-        )
+        sinks.merge_dates(batch, path, keys)
 
     return (
         daily.writeStream.outputMode("update")
@@ -58,8 +56,7 @@ def store_updates(daily: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     )
 
 
-def current_state(updates: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """The last update of each company-day."""
-    return first_per_key(
-        updates, keys or ["event_date", "ticker"], [F.desc("batch_id")]
-    ).drop("batch_id")
+def current_state(spark: SparkSession, path: str) -> DataFrame:
+    """What ``store_updates`` holds."""
+    rows = tables.read_partitioned(spark, path)
+    return rows.withColumn("event_date", F.col("event_date").cast("date"))

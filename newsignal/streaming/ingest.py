@@ -2,32 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from newsignal import schemas
-from newsignal.sources.articles import NEWS_FILES
+from newsignal.sources.articles import (
+    NEWS_FILES, WITH_CORRUPT, broken_records, good_articles, with_file,
+)
 
 
 def article_stream(
     spark: SparkSession, folder: str, pattern: str = NEWS_FILES, multi_line: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
+    """Articles as their files arrive; broken records keep their text (see ``store_articles``)."""
     reader = (
-        spark.readStream.schema(schemas.ARTICLE)
+        spark.readStream.schema(WITH_CORRUPT)
         .option("multiLine", multi_line)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(folder)
+    return with_file(reader.json(folder))
+
+
+def store_articles(
+    rows: DataFrame, path: str, quarantine: str, checkpoint: str
+) -> list[StreamingQuery]:
+    """Stores an ``article_stream`` by date, and its broken records by their own.
+
+    Two queries with a checkpoint each, so both sets hold every record exactly once.
+    """
+    good = good_articles(rows).drop("_file")
+    broken = broken_records(rows)
+    return [
+        store_stream(good, path, f"{checkpoint}/articles"),
+        store_stream(broken, quarantine, f"{checkpoint}/quarantine"),
+    ]
 
 
 def store_stream(
-    rows: DataFrame, path: str, checkpoint: str, by: str | None = "date"
+    rows: DataFrame, path: str, checkpoint: str, by: str | None = "date", files: int = 1
 ) -> StreamingQuery:
-    """Appends what has arrived and stops; the checkpoint remembers the files read."""
+    """Appends what has arrived and stops; the checkpoint remembers the files read.
+
+    A batch writes at most ``files`` files per date; set it to the tasks that a day is
+    worth.
+    """
+    if by:
+        rows = rows.repartition(by, F.pmod(F.xxhash64(*rows.columns), F.lit(files)))
     writer = (
         rows.writeStream.format("parquet")
         .outputMode("append")

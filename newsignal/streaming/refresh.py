@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from newsignal.sources import sinks
+from newsignal.sources import sinks, tables
 
 
 def refresh_stream(
@@ -22,11 +22,9 @@ def refresh_stream(
     """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        sinks.add_batch(batch, store, batch_id, key, order)
-        stored = spark.read.parquet(store)
-        touched = stored.filter(stored["batch_id"] == batch_id).select("event_date").distinct()
-        fresh = stored.join(touched, "event_date", "left_semi").drop("batch_id")
+        touched = sinks.merge_dates(batch, store, [key], order=order)
+        stored = tables.read_partitioned(batch.sparkSession, store)
+        fresh = stored.join(touched, "event_date", "left_semi")
         sinks.write_partitions(aggregate(fresh), mart)
 
     return (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,12 +163,39 @@ def test_both_ways_agree_on_awkward_names(spark, frame):
         assert {r["dedup_key"]: set(r["text_matches"]) for r in matched.collect()} == want
 
 
-def test_matching_picks_the_way_by_dictionary_size(spark, frame):
-    rows = frame("dedup_key string, title string, description string", dict(dedup_key="a", title="Visa"))
-    entities = company_table(spark)
-    for limit in (200, 5):
-        matched = tagging.match_entities(rows, entities, max_expression=limit)
-        assert matched.first()["text_matches"] == ["V"]
+def test_matching_goes_one_way_for_every_dictionary_size(spark, frame):
+    rows = frame("dedup_key string, title string, description string",
+                 dict(dedup_key="a", title="Visa and name 4321 with Boeing"))
+    small = company_table(spark)
+    more = spark.range(5000).select(
+        F.concat(F.lit("T"), "id").alias("ticker"), F.concat(F.lit("name "), "id").alias("full_name"),
+        F.lit(None).cast("string").alias("short_name"), F.lit("X").alias("industry"),
+        F.lit(False).alias("symbol_is_safe"), F.lit(0).alias("query_rank"),
+    )
+    plans = []
+    for entities, want in ((small, ["BA", "V"]), (small.unionByName(more), ["BA", "T4321", "V"])):
+        matched = tagging.match_entities(rows, entities)
+        assert matched.first()["text_matches"] == want
+        plan = matched._jdf.queryExecution().optimizedPlan().toString()
+        plans.append(re.findall(r"Join \w+|Generate|Aggregate|Window", plan))
+    assert plans[0] == plans[1]
+
+
+def test_a_blank_url_is_none(frame):
+    rows = frame("url string, title string, source string, publishedAt string",
+                 *[dict(url=u, title=t) for u, t in (("  ", "a"), ("", "b"), (None, "c"), ("\u00a0", "d"))])
+    assert clean.with_dedup_key(rows).select("dedup_key").distinct().count() == 4
+
+
+def test_winner_does_not_depend_on_the_order_of_rows(spark, frame):
+    schema = ", ".join(f"{c} string" for c in schemas.ARTICLE.names)
+    same = dict(date="2026-01-01", url="u", title="t", source="s", ticker="MACRO", article_type="macro")
+    copies = [dict(same, company=c, content=x) for c in ("oil", "rates") for x in (None, "x", "y")]
+    winners = {
+        tuple(clean.clean_articles(frame(schema, *order)).first())
+        for order in (copies, copies[::-1], copies[3:] + copies[:3])
+    }
+    assert len(winners) == 1 and "oil" in winners.pop()
 
 
 def test_tags_of_query_and_text(spark, frame):

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from newsignal import schemas
-from newsignal.operators import clean
+from newsignal.operators import clean, prices, report, scoring
 from newsignal.plans.companies import MACRO_TOPICS, company_table, query_table
-from newsignal.plans.daily import Inputs, daily_frames, run_day
+from newsignal.plans.daily import Inputs, daily_frames, full_days, ingest as ingest_day, run_day
 from newsignal.session import scratch_dir
 from newsignal.sources import articles, sinks, tables
 from newsignal.streaming import daily, dedup, ingest, refresh
@@ -128,6 +130,10 @@ def test_columns_by_name(frame):
     assert [r["b"] for r in union] == [2, None]
 
 
+def test_full_days():
+    assert full_days(dt.date(2026, 3, 2), 3) == ["2026-02-27", "2026-02-28", "2026-03-01"]
+
+
 def test_scratch_follows_the_session(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
@@ -156,13 +162,19 @@ def stream(spark, path, schema):
 
 def test_article_stream_reads_each_file_once(spark, tmp_path):
     raw = tmp_path / "raw"
-    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    out, bad, state = (str(tmp_path / x) for x in ("out", "bad", "state"))
     for n, day in enumerate(("2026-01-01", "2026-01-02"), 1):
         write_day(raw / day, day, [article(day, f"{day}{i}", "t") for i in range(2)])
+        (raw / day / f"news_{day}_bad.json").write_text("[{ broken")
         for _ in range(2):
             rows = ingest.article_stream(spark, str(raw))
-            ingest.store_stream(rows, out, state).awaitTermination()
+            for query in ingest.store_articles(rows, out, bad, state):
+                query.awaitTermination()
         assert spark.read.parquet(out).count() == 2 * n
+        broken = tables.read_partitioned(spark, bad, "date").collect()
+        assert sorted((r["date"], r["text"]) for r in broken) == [
+            (d, "[{ broken") for d in ("2026-01-01", "2026-01-02")[:n]
+        ]
 
 
 @pytest.mark.parametrize("spread", [None, "event_id"])
@@ -202,7 +214,9 @@ def test_stream_daily_updates_and_refresh(spark, tmp_path):
             stream(spark, path, schema), str(tmp_path / "store"), mart, str(tmp_path / "s2"),
             aggregate, "event_id", ["published_ts"],
         ).awaitTermination()
-    state = daily.current_state(spark.read.parquet(out))
+    state = daily.current_state(spark, out)
+    for folder in (tmp_path / "out", tmp_path / "store", tmp_path / "mart"):
+        assert max(len(list(x.glob("*.parquet"))) for x in folder.glob("event_date=*")) <= 2
     got = {(str(r["event_date"]), r["ticker"]): r["mention_count"] for r in state.collect()}
     assert got == {("2026-01-01", "A"): 3, ("2026-01-01", "B"): 1, ("2026-01-02", "A"): 1}
     fresh = {(str(r["event_date"]), r["ticker"]): r["n"] for r in spark.read.parquet(mart).collect()}
@@ -214,10 +228,10 @@ def inputs(spark, frame):
     rows, days = [], [f"2026-01-0{d}" for d in range(1, 7)]
     for i, day in enumerate(days):
         word = "profit" if i % 2 else "loss"
-        rows += [article(day, f"http://x/{day}", f"Apple {word}"),
-                 article(day, f"HTTP://X/{day} ", f"Apple {word}"),
-                 article(day, f"http://y/{day}", "Microsoft gains", ticker="MSFT"),
-                 article(day, "http://same", "Visa everywhere", ticker="V"),
+        rows += [article(day, f"http://x/{day}", f"Apple {word}", company="Apple"),
+                 article(day, f"HTTP://X/{day} ", f"Apple {word}", company="Apple"),
+                 article(day, f"http://y/{day}", "Microsoft gains", ticker="MSFT", company="Microsoft"),
+                 article(day, "http://same", "Visa everywhere", ticker="V", company="Visa"),
                  article(day, f"http://m/{day}", "Oil", ticker="MACRO", company="Oil / Energy",
                          article_type="macro")]
     closes = [dict(ticker=t, event_date=day, close=100.0 + i * i * (1 if t == "AAPL" else -1))
@@ -260,4 +274,113 @@ def test_run_day_equals_the_lazy_plan_and_can_be_repeated(spark, inputs, tmp_pat
         want = sorted(map(str, schemas.align_to(lazy[table], schema).collect()))
         assert once[table] == want
     runs = tables.read_mart(spark, "nsrun", "pipeline_runs").collect()
-    assert len(runs) == 12 and {r["articles_processed"] for r in runs} == {5}
+    assert len(runs) == 12 and {r["articles_processed"] for r in runs} == {4}  # the copy is not kept
+    assert sorted((r["run_date"], r["attempt"]) for r in runs) == [(d, a) for d in days for a in (1, 2)]
+
+
+def test_run_day_replaces_what_went(spark, inputs, tmp_path):
+    days, data = inputs
+    tables.create_marts(spark, "nsgone", str(tmp_path / "db"))
+    store = str(tmp_path / "store")
+
+    def mart(name):
+        return tables.read_mart(spark, "nsgone", name)
+
+    quiet = Inputs(data.articles.filter("false"), data.closes, data.entities, data.queries)
+    run_day(spark, quiet, store, "nsgone", days[:1])
+    assert mart("company_sentiment").count() == 0 and mart("pipeline_runs").first()["articles_processed"] == 0
+    rows = run_day(spark, data, store, "nsgone", days[1:4])
+    assert rows["clean"] == 10 and rows["company_sentiment"] == mart("company_sentiment").count() == 7
+    run_day(spark, quiet, store, "nsgone", days[2:3])
+    left = {r["event_date"] for r in mart("company_sentiment").collect()}
+    assert left == {days[1], days[3]}
+    assert days[2] not in {r["event_date"] for r in mart("sentiment_price_correlation").collect()}
+    assert spark.read.parquet(f"{store}/mentions").filter(F.col("event_date") == days[2]).count() == 0
+
+    def failing(texts):
+        raise RuntimeError("no model")
+
+    with pytest.raises(RuntimeError):
+        run_day(spark, data, store, "nsgone", days[4:5], score=failing)
+    failed = mart("pipeline_runs").filter("status = 'failed'").collect()
+    assert [(r["run_date"], r["attempt"], r["errors"]) for r in failed] == [(days[4], 1, "RuntimeError: no model")]
+
+
+def test_restated_close_renews_the_next_day(spark, inputs, tmp_path):
+    days, data = inputs
+    tables.create_marts(spark, "nsprice", str(tmp_path / "db"))
+    store = str(tmp_path / "store")
+
+    def run(dates, closes):
+        run_day(spark, Inputs(data.articles, closes, data.entities, data.queries), store, "nsprice", dates)
+
+    def changes(ticker):
+        rows = tables.read_mart(spark, "nsprice", "price_data").filter(F.col("ticker") == ticker)
+        return {r["event_date"]: round(r["price_change_pct"], 2) for r in rows.collect()}
+
+    sparse = data.closes.filter((F.col("ticker") == "MSFT") | F.col("event_date").isin(days[0], days[1], days[5]))
+    run(days, sparse)
+    restated = sparse.withColumn(
+        "close", F.when((F.col("ticker") == "AAPL") & (F.col("event_date") == days[1]), 50.0).otherwise(F.col("close"))
+    )
+    before = changes("MSFT")
+    run(days[1:2], restated)
+    assert changes("AAPL") == {days[0]: 0.0, days[1]: -50.0, days[5]: 150.0}
+    assert changes("MSFT") == before
+
+
+def test_first_change_looks_back_as_far_as_needed(frame):
+    closes = frame("ticker string, event_date string, close double",
+                   dict(ticker="A", event_date="2026-01-01", close=10.0),
+                   dict(ticker="A", event_date="2026-02-01", close=11.0),
+                   dict(ticker="A", event_date="2026-03-01", close=22.0),
+                   dict(ticker="A", event_date="2026-04-01", close=11.0))
+    got = prices.changes_around(closes, "2026-02-01", "2026-02-03").collect()
+    assert {r["event_date"]: r["price_change_pct"] for r in got} == {"2026-02-01": 10.0, "2026-03-01": 100.0}
+
+
+def test_a_run_reads_only_its_day_folders(spark, inputs, tmp_path):
+    days, data = inputs
+    raw = str(tmp_path / "raw")
+    sinks.write_day_files(data.articles, raw)
+    sinks.write_day_files(data.articles.filter(F.col("date") == days[0]).limit(1), raw)
+    everything = articles.read_day_files(spark, raw)
+    assert everything.filter(F.col("date") == days[0]).count() == 1 and everything.count() == 26
+    one = articles.read_day_files(spark, raw, days[1:2])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*date", plan) and plan.count("FileScan") == 1
+    (tmp_path / "raw" / f"date={days[1]}" / "part-broken.json").write_text('{"title": \n')
+    store = str(tmp_path / "store")
+    rows = articles.read_day_files(spark, raw, days[1:3])
+    ingest_day(spark, Inputs(rows, data.closes, data.entities, data.queries), store, days[1:3])
+    bad = spark.read.parquet(f"{store}/quarantine").collect()
+    assert [(r["date"], r["text"]) for r in bad] == [(days[1], '{"title": ')]
+    assert tables.read_dates(spark, f"{store}/articles", days[1:3]).count() == 8
+
+
+def test_scores_stay_one_per_key(frame, spark, tmp_path):
+    path = str(tmp_path / "scores")
+    rows = frame("dedup_key string, date string, sentiment_label string, model_version string",
+                 *[dict(dedup_key=k, date=d, sentiment_label="x", model_version="m")
+                   for k, d in (("a", "2026-01-01"), ("a", "2026-01-01"), ("b", "2026-01-02"))])
+    for batch in (rows, rows.filter("dedup_key = 'a'"), rows):
+        sinks.append_scores(batch, path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 2
+    known = stored.withColumn("date", F.col("date").cast("string"))
+    todo = scoring.pending_articles(rows, known, "m", dates=["2026-01-01"])
+    assert [r["dedup_key"] for r in todo.collect()] == ["b"]
+    plan = todo._jdf.queryExecution().executedPlan().toString()
+    assert "date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_marts_with_two_tickers_a_company(frame):
+    schema = ("ticker string, company_name string, industry string, event_date string, sentiment_label string, "
+              "sentiment_score double, mention_count int, pct_positive double, pct_negative double")
+    rows = [dict(ticker=t, company_name="Both", industry="X", event_date="2026-01-01", sentiment_label=s,
+                 sentiment_score=v, mention_count=1, pct_positive=0.5, pct_negative=0.5)
+            for t, s, v in (("A", "positive", 0.5), ("B", "negative", -0.5))]
+    for query in (report.rankings, report.kpis, lambda m: report.entity_detail(m, "Both"),
+                  lambda m: report.latest_per_entity(m, null_skipping=True)):
+        one, other = (query(frame(schema, *order)).collect() for order in (rows, rows[::-1]))
+        assert one == other
