@@ -1,4 +1,4 @@
-"""Day spines and date text."""
+"""Day spines and date ranges."""
 
 from __future__ import annotations
 
@@ -6,12 +6,6 @@ import datetime as dt
 
 from pyspark.sql import Column, functions as F
 
-DAY = "yyyy-MM-dd"
-
-
-def day_text(c: Column) -> Column:
-    return F.date_format(c, DAY)
-
 
 def days_between(start: str | dt.date, end: str | dt.date) -> Column:
     """Array of every day from start to end, both included."""

@@ -68,8 +68,3 @@ MARTS = {
 def align_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the schema's columns by name, in its order and with its types."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
-
-
-def keep_existing(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The listed columns that the frame has, in list order."""
-    return df.select(*[c for c in columns if c in df.columns])

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -33,6 +36,14 @@ def build_session(app: str = "newsignal", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_base() -> str:
+    """A temporary folder of this process, removed at its end."""
+    base = tempfile.mkdtemp(prefix="newsignal-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir`` that all executors can reach.
 
@@ -42,5 +53,5 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="newsignal-")
+        base = _local_base()
     return f"{base.rstrip('/')}/newsignal/{name}-{uuid.uuid4().hex}"

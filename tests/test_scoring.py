@@ -56,6 +56,18 @@ def test_model_is_loaded_once_per_task(spark):
     assert [r["prob_positive"] for r in out] == [1.0] * 4 + [2.0] * 4 + [3.0] * 2
 
 
+def test_model_is_loaded_once_per_worker(spark):
+    def factory():
+        import random
+
+        mark = random.SystemRandom().random()
+        return lambda texts: np.array([[mark, 0.0, 0.0] for _ in texts])
+
+    rows = spark.range(60, numPartitions=20).select(F.col("id").cast("string").alias("text"))
+    loads = scoring.score_with_model(rows, factory).select("prob_positive").distinct().count()
+    assert loads <= spark.sparkContext.defaultParallelism
+
+
 def test_pending_and_attach(frame, articles):
     scores = scoring.score_by_words(articles.filter("dedup_key < '3'")).withColumn(
         "model_version", F.lit("m1")

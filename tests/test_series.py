@@ -230,10 +230,18 @@ def test_expectations(frame):
         quality.max_nulls("k", 0.5), quality.max_nulls("k"), quality.unique_key("k", "d"),
         quality.unique_key("d"),
     ]
-    got = [r["ok"] for r in quality.expectations(rows, checks).collect()]
-    assert got == [True, False, True, True, False, True, False]
-    empty = quality.expectations(rows.filter("false"), [quality.min_rows(), quality.max_nulls("k")])
-    assert [r["ok"] for r in empty.collect()] == [False, True]
+    tested = quality.expectations(rows, checks)
+    got = sorted((r["check"], r["ok"], r["detail"]) for r in tested.collect())
+    assert got == sorted([
+        ("row_count", True, 3), ("row_count", False, 3), ("distinct_d", True, 2),
+        ("null_share_k", True, 1 / 3), ("null_share_k", False, 1 / 3), ("duplicates_k_d", True, 0),
+        ("duplicates_d", False, 1),
+    ])
+    assert "Expand" not in tested._jdf.queryExecution().optimizedPlan().toString()
+    empty = quality.expectations(rows.filter("false"), [quality.min_rows(), quality.max_nulls("k"), quality.unique_key("k")])
+    assert {r["check"]: r["ok"] for r in empty.collect()} == {
+        "row_count": False, "null_share_k": True, "duplicates_k": True,
+    }
 
 
 def test_facets_prune_partitions(spark, mart, tmp_path):

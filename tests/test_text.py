@@ -17,7 +17,7 @@ def lit(v):
 
 
 def key(url, title="T", source="S", published="P"):
-    basis = url.strip().lower() if url else f"{title or ''}{source or ''}{published or ''}".lower()
+    basis = url.strip().lower() if url and url.strip() else f"{title or ''}{source or ''}{published or ''}".lower()
     return hashlib.sha256(basis.encode()).hexdigest()
 
 
