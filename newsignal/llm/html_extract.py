@@ -274,7 +274,9 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
 
     Blocks of boilerplate elements are left out, then those inside subtrees that recur over
     the pages of the host.  White space within a block becomes one blank; blocks are joined
-    by a line feed in page order.  A page without text, or with null html, gives "".
+    by a line feed in page order.  In an article only containers such as div or section can
+    be part of a template, never its prose; in a page without one any block element can.
+    A page without text, or with null html, gives "".
     Pages without a host share the empty one.
     """
     read = common.written(parsed(pages), "pages")

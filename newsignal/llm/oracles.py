@@ -60,20 +60,27 @@ out AS (
 SELECT *, ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0
   < probability AS kept FROM out"""
 
+def run_of(n: int) -> str:
+    """The words from the current one on, n of them, as one text."""
+    frame = f"OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING)"
+    return f"CASE WHEN count(*) {frame} = {n} THEN md5_number(string_agg(x, ' ') {frame}) END"
+
+
 OP4 = f"""
-WITH RECURSIVE d AS (
+WITH RECURSIVE d AS MATERIALIZED (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{WORD}') AS w
   FROM documents),
+t AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d),
 s AS MATERIALIZED (
-  SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN w ELSE w[i:i + 2] END AS g
-  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS i FROM d WHERE len(w) > 0)),
+  SELECT DISTINCT doc_id, g FROM (SELECT doc_id, {run_of(3)} AS g FROM t) WHERE g IS NOT NULL
+  UNION ALL SELECT doc_id, md5_number(array_to_string(w, ' ')) FROM d WHERE len(w) BETWEEN 1 AND 2),
 n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 pairs AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b USING (g)
-  WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+  SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS shared FROM s p JOIN s q USING (g)
+  WHERE p.doc_id <> q.doc_id GROUP BY ALL),
 links AS MATERIALIZED (
   SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-  WHERE 100 * both >= 90 * (x.n + y.n - both)),
+  WHERE 100 * shared >= 90 * (x.n + y.n - shared)),
 reach AS (
   SELECT doc_id AS node, doc_id AS seen FROM d
   UNION SELECT node, b FROM reach JOIN links ON seen = a),
@@ -82,14 +89,16 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM d JOIN least ON node = doc_id LEFT JOIN n USING (doc_id)"""
 
 OP6 = """
-WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-b AS MATERIALIZED (
-  SELECT doc_id, unnest(generate_series(1, length(h) // 2)) AS i, h FROM d WHERE h <> ''),
+WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 w AS MATERIALIZED (
-  SELECT doc_id, i, count(*) OVER (PARTITION BY md5_number(substr(h, 2 * i - 1, 400))) > 1 AS again
-  FROM b WHERE i + 199 <= length(h) // 2),
+  SELECT doc_id, i, count(*) OVER (PARTITION BY g) > 1 AS again FROM (
+    SELECT doc_id, i, md5_number(substr(h, 2 * i - 1, 400)) AS g
+    FROM (SELECT doc_id, h, unnest(generate_series(1, length(h) // 2 - 199)) AS i FROM d))),
+b AS (
+  SELECT doc_id, i, substr(h, 2 * i - 1, 2) AS x
+  FROM (SELECT doc_id, h, unnest(generate_series(1, length(h) // 2)) AS i FROM d)),
 c AS (
-  SELECT doc_id, i, substr(h, 2 * i - 1, 2) AS x,
+  SELECT doc_id, i, x,
     coalesce(bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 199 PRECEDING AND CURRENT ROW), false) AS gone
   FROM b LEFT JOIN w USING (doc_id, i)),
 e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS begins FROM c),
@@ -119,9 +128,10 @@ WITH d AS MATERIALIZED (
     regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
     list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '{WORD}')) AS l
   FROM documents),
+t AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d),
 windows AS (
-  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i:i + {R.WINDOW - 1}]) AS n
-  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - {R.WINDOW - 1})) AS i FROM d)),
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n
+  FROM (SELECT doc_id, i, {run_of(R.WINDOW)} AS g FROM t) WHERE g IS NOT NULL),
 repeats AS (
   SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM windows, range({R.WINDOW}) r(j)
   WHERE n > 1 GROUP BY doc_id),
@@ -157,14 +167,14 @@ FROM m GROUP BY doc_id"""
 OP10 = f"""
 WITH d AS MATERIALIZED (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
-p AS (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS i FROM d),
+t AS MATERIALIZED (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d),
 windows AS (
-  SELECT doc_id, i, row_number() OVER (PARTITION BY md5_number(array_to_string(w[i:i + 19], ' ')) ORDER BY doc_id, i) > 1 AS later
-  FROM p WHERE i + 19 <= len(w)),
+  SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1 AS later
+  FROM (SELECT doc_id, i, {run_of(20)} AS g FROM t) WHERE g IS NOT NULL),
 c AS (
-  SELECT doc_id, i, w[i] AS x,
+  SELECT doc_id, i, x,
     coalesce(bool_or(later) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), false) AS gone
-  FROM p LEFT JOIN windows USING (doc_id, i)),
+  FROM t LEFT JOIN windows USING (doc_id, i)),
 g AS (
   SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(x, ' ' ORDER BY i) FILTER (NOT gone) AS kept
   FROM c GROUP BY doc_id)
