@@ -278,16 +278,20 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     be part of a template, never its prose; in a page without one any block element can.
     A page without text, or with null html, gives "".
     Pages without a host share the empty one.
+
+    Pages are parsed twice: first for their subtrees only, which are small and written,
+    then for their text, which is shuffled once and never stored in between.
     """
-    read = common.written(parsed(pages), "pages")
-    templates = template_subtrees(read, min_pages, min_share)
+    subtrees = common.written(parsed(pages).select("page_id", "key", "host", "subtrees"), "subtrees")
+    templates = common.written(template_subtrees(subtrees, min_pages, min_share), "templates")
     gone = (
-        read.select("page_id", "key", "host", F.explode("subtrees").alias("s"))
+        subtrees.select("page_id", "key", "host", F.explode("subtrees").alias("s"))
         .select("page_id", "key", "host", F.col("s.hash").alias("hash"), F.col("s.number").alias("number"))
         .join(templates, ["host", "hash"], "left_semi")
         .groupBy(F.col("page_id").alias("gone_id"), F.col("key").alias("gone_key"))
         .agg(F.collect_set("number").alias("gone"))
     )
+    read = parsed(pages).select("page_id", "url", "key", "blocks")
     same = read["page_id"].eqNullSafe(gone["gone_id"]) & (read["key"] == gone["gone_key"])
     none = F.array().cast("array<int>")
     kept = F.filter(
