@@ -84,7 +84,9 @@ def repeated_phrases(
     later = recurring.per_context(
         dealt.groupBy("shard").applyInPandas(shard, recurring.FOUND)
     )
-    known = known.select("gram", "context", "place").join(later, ["gram", "context"], "left")
+    known = common.written(
+        known.select("gram", "context", "place").join(later, ["gram", "context"], "left"), "verdicts"
+    )
     placed = points.join(known, ["gram", "context"])
     own = (
         F.col("doc_id").eqNullSafe(F.col("place.doc_id"))

@@ -78,11 +78,12 @@ def sample_points(docs: DataFrame, kind: Windows) -> DataFrame:
 def recurring_points(docs: DataFrame, kind: Windows) -> DataFrame:
     """Sample points whose gram occurs more than once in the corpus, written once.
 
-    Counts are combined before the shuffle; the join is left to Spark, which splits a gram
-    that very many texts hold.
+    Counts are combined before the shuffle.  They are written before the join, which has
+    plain exchanges on both sides then, so Spark splits a gram that very many texts hold.
     """
     points = common.written(sample_points(docs, kind), "points")
     often = points.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    often = common.written(often, "grams")
     return common.written(points.join(often, "gram", "left_semi"), "recurring")
 
 
@@ -98,6 +99,7 @@ def contexts(points: DataFrame) -> DataFrame:
     )
     distinct = common.written(distinct, "contexts")
     several = distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("n_contexts")).filter("n_contexts > 1")
+    several = common.written(several, "contested")
     return distinct.join(several, "gram", "left").select(
         "gram", "context", "n", "place", F.coalesce("n_contexts", F.lit(1)).alias("n_contexts")
     )
@@ -208,4 +210,5 @@ FOUND = "gram long, context long, found array<struct<a:int,b:int>>"
 
 def per_context(found: DataFrame) -> DataFrame:
     """Window ranges of each context, also of those whose windows were dealt one by one."""
-    return found.groupBy("gram", "context").agg(F.flatten(F.collect_set("found")).alias("found"))
+    parts = found.groupBy("gram", "context").agg(F.flatten(F.collect_set("found")).alias("found"))
+    return common.written(parts, "found")

@@ -150,7 +150,9 @@ def repeated_bytes(
         return pd.concat(out)
 
     partly = recurring.per_context(dealt.groupBy("shard").applyInPandas(shard, recurring.FOUND))
-    known = known.select("gram", "context", "n").join(partly, ["gram", "context"], "left")
+    known = common.written(
+        known.select("gram", "context", "n").join(partly, ["gram", "context"], "left"), "verdicts"
+    )
     placed = points.join(known, ["gram", "context"])
     every = F.array(F.struct(F.lit(0).alias("a"), F.col("windows").alias("b")))
     return placed.select(
