@@ -16,8 +16,10 @@ def least_neighbour(edges: DataFrame, upward: bool) -> DataFrame:
     """
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     pairs = both if upward else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = pairs.groupBy("a").agg(F.min("b").alias("m")).select(
-        "a", F.least("a", "m").alias("m")
+    # Written, so that the join has plain exchanges and Spark can split a node's many edges.
+    least = common.written(
+        pairs.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")),
+        "least",
     )
     if upward:
         linked = pairs.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -11,7 +11,8 @@ PREFIX_BYTES = 256
 
 def shared(facts: DataFrame, keys: list[str]) -> DataFrame:
     """Key values that more than one row has; counts are combined before the shuffle."""
-    return facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*keys)
+    often = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*keys)
+    return common.written(often, "shared")
 
 
 def refine(docs: DataFrame, prefix_bytes: int = PREFIX_BYTES) -> DataFrame:
@@ -56,8 +57,13 @@ def exact_duplicates(docs: DataFrame, prefix_bytes: int = PREFIX_BYTES) -> DataF
         F.lit(True).alias("kept"), "text_sha256",
     )
     rest = hashed.filter("full_hash is not null")
-    groups = rest.groupBy("n_bytes", "full_hash").agg(
-        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+    # Written, so that the join has plain exchanges on both sides and Spark can split the
+    # rows of a very large group.
+    groups = common.written(
+        rest.groupBy("n_bytes", "full_hash").agg(
+            F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+        ),
+        "exact-groups",
     )
     return rest.join(groups, ["n_bytes", "full_hash"]).select(
         "doc_id", "keep_id", "group_size",

@@ -46,7 +46,8 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     by its document.
     """
     rows = common.keyed(docs)
-    found = common_lines(rows, min_docs)
+    # Written, so that the join has plain exchanges and Spark can split a line's many rows.
+    found = common.written(common_lines(rows, min_docs), "common-lines")
     placed = rows.select(
         "doc_id", "row_hash",
         F.posexplode(F.transform(lines_of(F.col("text")), line_key)).alias("pos", "key"),
