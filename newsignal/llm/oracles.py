@@ -95,8 +95,8 @@ w AS MATERIALIZED (
     SELECT doc_id, i, md5_number(substr(h, 2 * i - 1, 400)) AS g
     FROM (SELECT doc_id, h, unnest(generate_series(1, length(h) // 2 - 199)) AS i FROM d))),
 b AS (
-  SELECT doc_id, i, substr(h, 2 * i - 1, 2) AS x
-  FROM (SELECT doc_id, h, unnest(generate_series(1, length(h) // 2)) AS i FROM d)),
+  SELECT doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS i
+  FROM (SELECT doc_id, regexp_extract_all(h, '..') AS l FROM d)),
 c AS (
   SELECT doc_id, i, x,
     coalesce(bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 199 PRECEDING AND CURRENT ROW), false) AS gone
@@ -126,7 +126,7 @@ OP7 = f"""
 WITH d AS MATERIALIZED (
   SELECT doc_id, source, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
-    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '{WORD}')) AS l
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS l
   FROM documents),
 t AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d),
 windows AS (
