@@ -104,16 +104,15 @@ def rerun_company_sentiment(spark, sf):
 @query(
     "rerun_prices",
     LEFT_SQL
-    + """SELECT ticker, event_date, close_price,
-      CASE WHEN pct_e4 = 0 THEN 0e0 ELSE pct_e4 / 1e4 END AS price_change_pct FROM word_prices""",
+    + """SELECT ticker, event_date, CAST(CAST(close_price AS FLOAT) AS DOUBLE) AS close_price,
+      CAST(CAST(CASE WHEN pct_e4 = 0 THEN 0 ELSE pct_e4 / 1e4 END AS FLOAT) AS DOUBLE)
+        AS price_change_pct FROM word_prices""",
 )
 def rerun_prices(spark, sf):
     """The price mart after the runs: the day behind a restated close is right as well."""
     mart = tables.read_mart(spark, rerun_month(spark, sf)[0], "price_data")
-    rounded = {
-        c: numeric.half_even(F.col(c).cast("double")) for c in ("close_price", "price_change_pct")
-    }
-    return mart.withColumns(rounded).select("ticker", "event_date", *rounded)
+    doubles = [F.col(c).cast("double").alias(c) for c in ("close_price", "price_change_pct")]
+    return mart.select("ticker", "event_date", *doubles)
 
 
 MANIFEST_SQL = """, manifest AS (
@@ -223,12 +222,12 @@ def ingested(spark: SparkSession, sf: str) -> str:
     return store
 
 
-@query("ingest_day", HITS_CTE + "SELECT date, dedup_key, ticker, company, article_type, query_rank FROM kept")
+@query("ingest_day", HITS_CTE + "SELECT date, dedup_key, ticker, company, article_type FROM kept")
 def ingest_day(spark, sf):
     """What is landed of all hits: relevant articles, each from its first query."""
     store = ingested(spark, sf)
     return tables.read_dates(spark, f"{store}/articles", MONTH).select(
-        "date", "dedup_key", "ticker", "company", "article_type", "query_rank"
+        "date", "dedup_key", "ticker", "company", "article_type"
     )
 
 
