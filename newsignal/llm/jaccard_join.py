@@ -17,6 +17,8 @@ TASK_TOKENS = 400_000
 GROUP_DOCS = 128
 GROUP_TOKENS = 100_000
 U64 = np.uint64
+SKETCH = 64
+SALTS = np.random.RandomState(30_011).randint(1, 2**63 - 1, SKETCH, dtype=np.int64).astype(U64)
 
 
 @dataclass(frozen=True)
@@ -82,43 +84,89 @@ def signatures(tokens: np.ndarray, similar: Similar, limits: list[int]) -> np.nd
     return np.concatenate(out) if out else np.zeros(0, U64)
 
 
-def signed(docs: DataFrame, similar: Similar) -> DataFrame:
-    """doc_id, n_shingles, x and y (128-bit hash of the set) and the set's signatures."""
-    schema = "doc_id long, n_shingles long, x long, y long, signatures array<long>"
-    limits = similar.classes(1 << 40)
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """One byte for each of SKETCH minima under different hashes.
+
+    Two sets agree in a byte with at least the chance of their similarity.
+    """
+    least = np.concatenate(
+        [hashing.mix(tokens[None, :] ^ SALTS[i : i + 16, None]).min(axis=1) for i in range(0, SKETCH, 16)]
+    )
+    return (least & U64(255)).astype(np.uint8)
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def described(docs: DataFrame, similar: Similar) -> DataFrame:
+    """doc_id, n_shingles, x and y (128-bit hash of the set) and sketch (null for no shingle)."""
+    schema = "doc_id long, n_shingles long, x long, y long, sketch binary"
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in common.slices(whole):
-                n, x, y, marks = [], [], [], []
+                n, x, y, sketches = [], [], [], []
                 for tokens in shingle_sets(batch, similar.words):
                     n.append(len(tokens))
                     x.append(hashing.mix(tokens).sum(dtype=U64))
                     y.append(hashing.mix(tokens ^ U64(0xA5A5)).sum(dtype=U64))
-                    marks.append(signatures(tokens, similar, limits).view(np.int64))
+                    sketches.append(sketch(tokens).tobytes() if len(tokens) else None)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()),
                         *[pa.array(np.array(c, U64).view(np.int64)) for c in (x, y)],
-                        pa.array(marks, pa.list_(pa.int64())),
+                        pa.array(sketches, pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "x", "y", "signatures"],
+                    names=["doc_id", "n_shingles", "x", "y", "sketch"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(sign, schema)
+    return docs.select("doc_id", "text").mapInArrow(describe, schema)
 
 
-def families(signed_sets: DataFrame) -> DataFrame:
-    """(node, family): sets that signatures connect.  Linked sets are in one family.
+def marks(docs: DataFrame, similar: Similar) -> DataFrame:
+    """(mark, node): the signatures of each document's set; rows without doc_id have none."""
+    limits = similar.classes(1 << 40)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in common.slices(whole):
+                found = [
+                    signatures(t, similar, limits) if len(t) else np.zeros(0, U64)
+                    for t in shingle_sets(batch, similar.words)
+                ]
+                at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(found).view(np.int64)), batch.column("doc_id").take(at)],
+                    names=["mark", "node"],
+                )
+
+    rows = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
+    return rows.mapInArrow(mark, "mark long, node long")
 
-    Every set of a signature is tied to its least one: a star, not all pairs.
-    """
-    marks = signed_sets.select("node", F.explode("signatures").alias("mark"))
-    tied = marks.groupBy("mark").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-    ties = marks.join(tied.filter("least < most").select("mark", "least"), "mark")
-    return components(ties.select(F.col("least").alias("a"), F.col("node").alias("b"))).withColumnRenamed(
-        "component", "family"
-    )
+
+def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches sorted by mark, cut so that each mark lies in one table."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        found = table.column("mark").to_numpy()
+        border = int(np.searchsorted(found, found[-1])) if len(found) else 0
+        if border:
+            yield table.slice(0, border)
+        rest = table.slice(border)
+    if rest is not None and len(rest):
+        yield rest
+
+
+def shared_marks(rows: DataFrame) -> DataFrame:
+    """Rows (mark, node) of marks that more than one row has."""
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs_of(batches):
+            found = table.column("mark").to_numpy()
+            same = found[1:] == found[:-1]
+            keep = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+            yield from table.filter(pa.array(keep)).to_batches()
+
+    dealt = rows.repartition("mark").sortWithinPartitions("mark")
+    return dealt.mapInArrow(several, "mark long, node long")
 
 
 class Forest:
@@ -138,6 +186,50 @@ class Forest:
         return a != b
 
 
+def tied(nodes: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Edges that connect what all pairs connect that can be linked.
+
+    A pair can be linked if its sizes allow it and enough bytes of its sketches agree.  Of
+    linked pairs at 80 %, fewer than 40 % of the bytes agree with a chance below 1e-10.
+    """
+    forest, out, least = Forest(len(nodes)), [], SKETCH * (percent - 40) / 100
+    order = np.argsort(sizes, kind="stable")
+    nodes, sizes, sketches = nodes[order], sizes[order], sketches[order]
+    for i in range(len(nodes) - 1):
+        end = int(np.searchsorted(sizes, sizes[i] * 100 // percent, side="right"))
+        alike = (sketches[i + 1 : end] == sketches[i]).sum(axis=1) >= least
+        for j in np.flatnonzero(alike) + i + 1:
+            if forest.join(i, int(j)):
+                out.append((int(nodes[i]), int(nodes[j])))
+    return out
+
+
+def families(shared: DataFrame, sets: DataFrame, similar: Similar) -> DataFrame:
+    """(node, family): sets that plausible pairs connect.  Linked sets are in one family.
+
+    ``shared`` has the rows of marks with several nodes, ``sets`` n_shingles and sketch of
+    each node.  The nodes of a mark are compared by size and sketch, so that a passage which
+    unlike documents share does not tie them together.
+    """
+    def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs_of(batches):
+            found, nodes, sizes = (table.column(c).to_numpy() for c in ("mark", "node", "n_shingles"))
+            data = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+            borders = [0, *(np.flatnonzero(found[1:] != found[:-1]) + 1).tolist(), len(found)]
+            out = []
+            for a, b in zip(borders, borders[1:]):
+                out += tied(nodes[a:b], sizes[a:b], data[a:b], similar.percent)
+            out = sorted(set(out))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([e[i] for e in out], pa.int64()) for i in (0, 1)], names=["a", "b"]
+            )
+
+    rows = shared.join(sets.select("node", "n_shingles", "sketch"), "node").select("mark", "node", "n_shingles", "sketch")
+    dealt = rows.repartition("mark").sortWithinPartitions("mark")
+    reached = components(dealt.mapInArrow(tie, "a long, b long")).withColumnRenamed("component", "family")
+    return reached.unionByName(reached.select(F.col("family").alias("node"), "family").distinct())
+
+
 def matrix(sets: list[np.ndarray], columns: np.ndarray) -> np.ndarray:
     """Rows of 0 and 1: which of the columns (sorted tokens) each set holds."""
     out = np.zeros((len(sets), len(columns)), np.float32)
@@ -213,7 +305,9 @@ def linked_sets(members: DataFrame, docs: DataFrame, similar: Similar, task_toke
     A larger one is dealt into parts, and each pair of parts is a task, so a task's size
     is bounded however large a family gets.
     """
-    totals = members.groupBy("family").agg(F.sum("n_shingles").alias("tokens"))
+    totals = members.groupBy("family").agg(
+        F.sum("n_shingles").alias("tokens"), F.count(F.lit(1)).alias("n")
+    ).filter("n > 1")
     total = totals.agg(F.sum("tokens")).first()[0] or 0
     pools = F.lit(max(1, -(-total // task_tokens)))
     parts = F.ceil(F.col("tokens") / F.lit(task_tokens)).cast("int")
@@ -268,17 +362,21 @@ def jaccard_groups(
     of the graph.  A null doc_id takes no part and has a null component_id.
     """
     rows = docs.select("doc_id", common.text_of().alias("text"))
-    sets = common.written(signed(rows, similar), "signed")
+    sets = common.written(described(rows, similar), "sets")
     usable = sets.filter("doc_id is not null and n_shingles > 0")
-    classes = usable.groupBy("x", "y").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n"))
+    classes = usable.groupBy("x", "y").agg(
+        F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"),
+        F.first("sketch").alias("sketch"),
+    )
     classes = common.written(classes, "classes")
-    firsts = usable.join(
-        classes.select("x", "y", F.col("node").alias("doc_id")), ["x", "y", "doc_id"], "left_semi"
-    ).withColumnRenamed("doc_id", "node")
-    family = families(firsts.select("node", "signatures"))
-    family = family.unionByName(family.select(F.col("family").alias("node"), "family").distinct())
-    sizes = firsts.groupBy("node").agg(F.max("n_shingles").alias("n_shingles"))
-    edges = linked_sets(family.join(sizes, "node"), rows, similar, task_tokens, group_docs)
+    # Copies of a set have its marks; only the first one of them goes on.
+    firsts = common.written(
+        classes.groupBy("node").agg(F.max("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")),
+        "firsts",
+    )
+    shared = common.written(shared_marks(marks(rows, similar)), "marks")
+    members = families(shared, firsts, similar).join(firsts.select("node", "n_shingles"), "node")
+    edges = linked_sets(members, rows, similar, task_tokens, group_docs)
     reached = components(edges)
     named = classes.join(reached, "node", "left").select(
         "x", "y", F.coalesce("component", "node").alias("component_id")

@@ -11,7 +11,7 @@ from newsignal.llm.components import components
 from newsignal.llm.exact_dedup import exact_duplicates, refine
 from newsignal.llm.host_rules import host_verdicts, judge, measures
 from newsignal.llm.html_extract import main_text, read_page
-from newsignal.llm.jaccard_join import FIVE_80, THREE_90, Similar, jaccard_groups, links, signatures
+from newsignal.llm.jaccard_join import FIVE_80, THREE_90, Similar, jaccard_groups, shared_marks, signatures, sketch, tied
 from newsignal.llm.line_dedup import counts_name, drop_common_lines
 from newsignal.llm.mixing import DIMS, mix, rake
 from newsignal.llm.packing import best_two_fit, pack_documents
@@ -154,6 +154,28 @@ def test_linked_sets_share_a_signature():
                 assert len(np.intersect1d(signatures(a, similar, limits), signatures(b, similar, limits)))
 
 
+def test_tied_joins_alike_and_leaves_unlike():
+    rng = np.random.RandomState(3)
+    base = [np.unique(rng.randint(0, 2**62, 300).astype(np.uint64)) for _ in range(4)]
+    sets = [np.union1d(b[i:], rng.randint(0, 2**62, i).astype(np.uint64)) for b in base for i in (0, 5, 12, 20)]
+    sets += [np.union1d(base[0][:60], rng.randint(0, 2**62, 240).astype(np.uint64))]  # shares a passage
+    data = np.array([sketch(s) for s in sets])
+    edges = tied(np.arange(len(sets)), np.array([len(s) for s in sets]), data, 80)
+    assert len(edges) == 12 and all(a // 4 == b // 4 and max(a, b) < 16 for a, b in edges)
+
+
+def test_marks_in_several_batches(spark):
+    rng = np.random.RandomState(4)
+    rows = [(int(m), n) for n, m in enumerate(rng.randint(0, 3000, 4000))] + [(5000, n) for n in range(900)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = shared_marks(spark.createDataFrame(rows, "mark long, node long").repartition(5)).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
+    often = {m for m in {m for m, _ in rows} if sum(x == m for x, _ in rows) > 1}
+    assert sorted(map(tuple, got)) == sorted(r for r in rows if r[0] in often)
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (9, 8), (8, 7), (7, 6), (6, 5), (20, 21), (3, 1), (30, 30)] + [(100 + i, 101 + i) for i in range(40)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
