@@ -12,6 +12,9 @@ from newsignal.llm.mixing import mix
 from newsignal.llm.packing import pack_documents
 from newsignal.llm.queries import vocabulary
 
+# Share of the tokens that mixing keeps, however many odd cells there are.
+KEPT_SHARE = 0.66
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and whose host is not rejected."""
@@ -35,8 +38,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample of the documents whose tokens match the target shares."""
-    return common.keep_rows(docs, mix(docs).filter("kept"))
+    """A sample of KEPT_SHARE of the tokens, which match the target shares as far as there are enough."""
+    return common.keep_rows(docs, mix(docs, kept_share=KEPT_SHARE).filter("kept"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -119,6 +119,37 @@ def test_mix_samples_by_probability(documents):
             assert group.kept.mean() == pytest.approx(p, abs=0.15)
 
 
+def test_one_odd_document_leaves_the_kept_share(spark, documents):
+    import corpus_pipeline
+
+    plain = documents([(i, " ".join(["word"] * (40 + i % 200))) for i in range(1500)])
+    odd = spark.createDataFrame([(5000, "twelve " * 12, "xx", "odd", 84)], plain.schema)
+    kept = []
+    for docs in (plain, plain.unionByName(odd)):
+        out = corpus_pipeline.mix_sources(spark, docs, "").filter("doc_id < 5000").toPandas()
+        kept.append(out["text"].str.split().map(len).sum() / sum(40 + i % 200 for i in range(1500)))
+    assert kept[0] == pytest.approx(corpus_pipeline.KEPT_SHARE, abs=0.04)
+    assert kept[1] == pytest.approx(kept[0], abs=0.02)
+
+
+def test_capped_raking_fills_the_budget(spark):
+    from newsignal.llm import mixing
+
+    cells = spark.createDataFrame(
+        [("a", "p", "t", 1000), ("a", "q", "t", 600), ("b", "p", "t", 700), ("b", "q", "u", 900), ("c", "r", "u", 12)],
+        "source string, lang string, topic string, n_tokens long",
+    )
+    targets = {d: mixing.tempered(cells, d) for d in DIMS}
+    out = mixing.rake_within(cells, targets, 2600.0)
+    got = {(r["source"], r["lang"]): r for r in out.collect()}
+    assert sum(r["n_tokens"] * r["probability"] for r in got.values()) == pytest.approx(2600, abs=1e-3)
+    assert all(0 < r["probability"] <= 1 for r in got.values()) and got["c", "r"]["probability"] == 1
+    left = mixing.residuals(out, targets).toPandas()
+    assert set(left["dim"]) == set(DIMS) and (left["target_share"] - left["kept_share"]).abs().max() < 0.01
+    whole = mixing.rake_within(cells, targets, 9000.0).collect()  # more than there is
+    assert {r["probability"] for r in whole} == {1.0}
+
+
 # ---- 4: Jaccard join ---------------------------------------------------------------------
 
 
