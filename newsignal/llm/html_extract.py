@@ -209,25 +209,40 @@ class Page:
             self.numbers.remove(number)
 
 
-def read_page(source: str) -> tuple[list[dict], list[dict]]:
-    """The candidate blocks of a page and the subtrees whose recurrence can delete them.
+def read_page(source: str) -> tuple[list[dict], list[dict], int]:
+    """The candidate blocks of a page, the subtrees whose recurrence can delete them, a hash of the texts.
 
-    Where the page has an article, only its blocks are candidates, and a subtree that holds
-    most of the article's text is never one of a template.
+    Where the page has an article, only its blocks are candidates.  ``rest`` of a subtree
+    names what else the page holds: the hash of the longest block outside of it.  A subtree
+    with nothing beside it is the whole text and never one of a template.
     """
     page = Page(source)
     blocks = [b for b in page.blocks if b[1]] if page.has_root else page.blocks
-    total = sum(len(b[0]) for b in blocks)
-    used = {n for b in blocks for n in b[2]}
-    subtrees = [
-        {"number": n, "hash": page.subtrees[n][0]} for n in sorted(used) if 2 * page.subtrees[n][1] <= total
-    ]
-    return [{"text": t, "inside": numbers} for t, _, numbers in blocks], subtrees
+    first: dict[int, int] = {}
+    last: dict[int, int] = {}
+    for i, (_, _, numbers) in enumerate(blocks):
+        for n in numbers:
+            first.setdefault(n, i)
+            last[n] = i
+    names = [(len(t), xxhash.xxh64_intdigest(t) - 2**63) for t, _, _ in blocks]
+    before, behind = [(0, 0)], [(0, 0)]  # the longest block before and behind each place
+    for name in names:
+        before.append(max(before[-1], name))
+    for name in reversed(names):
+        behind.append(max(behind[-1], name))
+    subtrees = []
+    for n in sorted(first):
+        size, rest = max(before[first[n]], behind[len(blocks) - 1 - last[n]])
+        if size:
+            subtrees.append({"number": n, "hash": page.subtrees[n][0], "rest": rest})
+    content = xxhash.xxh64_intdigest("\0".join(t for t, _, _ in blocks)) - 2**63
+    return [{"text": t, "inside": numbers} for t, _, numbers in blocks], subtrees, content
 
 
 PARSED = (
     "page_id long, url string, key long, host string, "
-    "blocks array<struct<text:string,inside:array<int>>>, subtrees array<struct<number:int,hash:long>>"
+    "blocks array<struct<text:string,inside:array<int>>>, "
+    "subtrees array<struct<number:int,hash:long,rest:long>>, content long"
 )
 
 
@@ -241,7 +256,8 @@ def parsed(pages: DataFrame) -> DataFrame:
                 columns = [batch.column(c) for c in ("page_id", "url", "key", "host")]
                 columns += [
                     pa.array([r[0] for r in read], pa.list_(pa.struct([("text", pa.string()), ("inside", pa.list_(pa.int32()))]))),
-                    pa.array([r[1] for r in read], pa.list_(pa.struct([("number", pa.int32()), ("hash", pa.int64())]))),
+                    pa.array([r[1] for r in read], pa.list_(pa.struct([("number", pa.int32()), ("hash", pa.int64()), ("rest", pa.int64())]))),
+                    pa.array([r[2] for r in read], pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=list(types))
 
@@ -255,18 +271,27 @@ def parsed(pages: DataFrame) -> DataFrame:
     return rows.mapInArrow(parse, schema)
 
 
-def template_subtrees(pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """(host, hash) of subtrees on at least ``min_pages`` pages and ``min_share`` of the host's.
+def exploded(pages: DataFrame) -> DataFrame:
+    """A row per subtree; ``name`` is the same for equal subtrees of a host."""
+    return pages.select("page_id", "key", "host", F.explode("subtrees").alias("s")).select(
+        "page_id", "key", "host", F.xxhash64("host", "s.hash").alias("name"), "s.number", "s.rest"
+    )
+
+
+def template_subtrees(pages: DataFrame, min_pages: int) -> DataFrame:
+    """(name, n) of subtrees that stand beside ``min_pages`` or more different texts of a host.
 
-    A page brings each hash once, and counts are combined before the shuffle, so one host
-    may hold most pages.
+    Copies of a page, and near copies that share their longest block, have one text beside
+    each subtree, so they count as one page.  Counts are combined before the shuffle, so one
+    host may hold most pages; only what stands on enough pages is counted by text.
     """
-    sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
-    counted = (
-        pages.select("host", F.explode(F.array_distinct("subtrees.hash")).alias("hash"))
-        .groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
+    found = exploded(pages)
+    often = found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages).select("name")
+    often = common.written(often, "often")
+    return (
+        found.select("name", "rest").join(often, "name", "left_semi").distinct()
+        .groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
     )
-    return counted.join(sizes, "host").filter(F.col("n") >= min_share * F.col("n_pages")).select("host", "hash")
 
 
 def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
@@ -276,26 +301,28 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     the pages of the host.  White space within a block becomes one blank; blocks are joined
     by a line feed in page order.  In an article only containers such as div or section can
     be part of a template, never its prose; in a page without one any block element can.
-    A page without text, or with null html, gives "".
+    A page of which nothing would be left stays whole.  A page without text, or with null
+    html, gives "".
     Pages without a host share the empty one.
 
     Pages are parsed twice: first for their subtrees only, which are small and written,
     then for their text, which is shuffled once and never stored in between.
     """
-    subtrees = common.written(parsed(pages).select("page_id", "key", "host", "subtrees"), "subtrees")
-    templates = common.written(template_subtrees(subtrees, min_pages, min_share), "templates")
+    subtrees = common.written(parsed(pages).select("page_id", "key", "host", "subtrees", "content"), "subtrees")
+    templates = common.written(template_subtrees(subtrees, min_pages), "templates")
+    sizes = subtrees.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
     gone = (
-        subtrees.select("page_id", "key", "host", F.explode("subtrees").alias("s"))
-        .select("page_id", "key", "host", F.col("s.hash").alias("hash"), F.col("s.number").alias("number"))
-        .join(templates, ["host", "hash"], "left_semi")
+        exploded(subtrees).join(templates, "name").join(common.written(sizes, "hosts"), "host")
+        .filter(F.col("n") >= min_share * F.col("n_pages"))
         .groupBy(F.col("page_id").alias("gone_id"), F.col("key").alias("gone_key"))
         .agg(F.collect_set("number").alias("gone"))
     )
     read = parsed(pages).select("page_id", "url", "key", "blocks")
     same = read["page_id"].eqNullSafe(gone["gone_id"]) & (read["key"] == gone["gone_key"])
     none = F.array().cast("array<int>")
-    kept = F.filter(
+    own = F.filter(
         "blocks", lambda b: ~F.arrays_overlap(F.coalesce(b["inside"], none), F.coalesce(F.col("gone"), none))
     )
+    kept = F.when(F.size(own) > 0, own).otherwise(F.col("blocks"))
     joined = read.join(gone, same, "left").withColumn("text", F.array_join(F.transform(kept, lambda b: b["text"]), "\n"))
     return joined.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

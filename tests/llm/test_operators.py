@@ -253,6 +253,21 @@ def test_article_that_recurs_stays(spark):
     assert {r["text"] for r in got.collect()} == {"Same story on all pages"}
 
 
+@pytest.mark.parametrize("url", ["http://x.example/{}", None])
+@pytest.mark.parametrize("wrap", ["<article><h1>Title</h1>{}</article>", "{}"])
+def test_copies_of_a_page_are_no_template(spark, url, wrap):
+    tag = "section" if "article" in wrap else "p"
+    body = wrap.format("".join(f"<{tag}>Part {k} of the same long story</{tag}>" for k in range(3)))
+    near = wrap.format("".join(f"<{tag}>Part {k} of a story that is told again</{tag}>" for k in range(3)) + "<p>Nr. {}</p>")
+    pages = [(i, url and url.format(i), page(body)) for i in range(5)]
+    pages += [(i, url and url.format(i), page(near.format(i))) for i in range(5, 11)]
+    pages += [(i, url and url.format(i), page(f"<article><p>Other {i}</p></article>")) for i in range(11, 20)]
+    got = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    title = "Title\n" if "article" in wrap else ""
+    assert got[0] == title + "\n".join(f"Part {k} of the same long story" for k in range(3))
+    assert got[7] == title + "\n".join(f"Part {k} of a story that is told again" for k in range(3)) + "\nNr. 7"
+
+
 def test_broken_markup_does_not_fail():
     for source in ("<", "<p", "</p></div>", "<p a='", "<!--", "<script>x", "<li><li></ul>" * 50, "<div>" * 3000 + "deep"):
         read_page(source)
