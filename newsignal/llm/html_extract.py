@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newsignal.llm import common
 
@@ -44,8 +44,6 @@ NOT_CONTENT_NAMES = set(
     "sharing sidebar sidebars skip social sponsor sponsored subscribe subscription toolbar widget".split()
 )
 ROOTS = {"article", "main"}
-# Kinds of elements that a site's template may bring into the article; prose never counts.
-TEMPLATE_KINDS = set("div section ul ol dl table figure details center fieldset".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*>|</\s*([a-zA-Z][^\s/>]*)[^>]*>"
@@ -160,7 +158,7 @@ class Page:
         root = not hidden and (tag in ROOTS or 'role="main"' in attributes)
         self.has_root |= root
         self.stack.append(Element(tag, hidden, root))
-        if tag in TEMPLATE_KINDS or not in_root and tag in BLOCKS:
+        if tag in BLOCKS:
             self.numbers.append(len(self.subtrees))
             self.subtrees.append((0, 0))
             self.open.append(self.numbers[-1])
@@ -298,11 +296,12 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     """One row per page: page_id, url, text, n_chars.
 
     Blocks of boilerplate elements are left out, then those inside subtrees that recur over
-    the pages of the host.  White space within a block becomes one blank; blocks are joined
-    by a line feed in page order.  In an article only containers such as div or section can
-    be part of a template, never its prose; in a page without one any block element can.
-    A page of which nothing would be left stays whole.  A page without text, or with null
-    html, gives "".
+    the pages of the host, in an article and outside.  A block recurs if it is inside a block
+    element that stands beside ``min_pages`` different texts.  It goes where it lies before
+    the first or after the last block of the page's own; between own blocks it goes if it
+    also stands beside ``min_share`` of the host's different pages.  A page without a block
+    of its own stays whole.  White space within a block becomes one blank; blocks are joined
+    by a line feed in page order.  A page without text, or with null html, gives "".
     Pages without a host share the empty one.
 
     Pages are parsed twice: first for their subtrees only, which are small and written,
@@ -313,16 +312,28 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     sizes = subtrees.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
     gone = (
         exploded(subtrees).join(templates, "name").join(common.written(sizes, "hosts"), "host")
-        .filter(F.col("n") >= min_share * F.col("n_pages"))
         .groupBy(F.col("page_id").alias("gone_id"), F.col("key").alias("gone_key"))
-        .agg(F.collect_set("number").alias("gone"))
+        .agg(
+            F.collect_set("number").alias("often"),
+            F.collect_set(F.when(F.col("n") >= min_share * F.col("n_pages"), F.col("number"))).alias("anywhere"),
+        )
     )
     read = parsed(pages).select("page_id", "url", "key", "blocks")
     same = read["page_id"].eqNullSafe(gone["gone_id"]) & (read["key"] == gone["gone_key"])
     none = F.array().cast("array<int>")
-    own = F.filter(
-        "blocks", lambda b: ~F.arrays_overlap(F.coalesce(b["inside"], none), F.coalesce(F.col("gone"), none))
-    )
-    kept = F.when(F.size(own) > 0, own).otherwise(F.col("blocks"))
+
+    def inside(block: Column, numbers: str) -> Column:
+        return F.arrays_overlap(F.coalesce(block["inside"], none), F.coalesce(F.col(numbers), none))
+
+    own = F.transform("blocks", lambda b: ~inside(b, "often"))
+    first = F.array_position(own, True)
+    last = F.size(own) + 1 - F.array_position(F.reverse(own), True)
+    kept = F.when(
+        first > 0,
+        F.filter(
+            "blocks",
+            lambda b, i: ~inside(b, "often") | (i + 1).between(first, last) & ~inside(b, "anywhere"),
+        ),
+    ).otherwise(F.col("blocks"))
     joined = read.join(gone, same, "left").withColumn("text", F.array_join(F.transform(kept, lambda b: b["text"]), "\n"))
     return joined.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -268,6 +268,23 @@ def test_copies_of_a_page_are_no_template(spark, url, wrap):
     assert got[7] == title + "\n".join(f"Part {k} of a story that is told again" for k in range(3)) + "\nNr. 7"
 
 
+def test_recurring_prose_of_an_article_goes(spark):
+    def story(i, mid="", end=""):
+        return page(f"<article><h2>Our service</h2><p>Own {i} start{' of a long story' * 4}</p>{mid}<blockquote>Own {i} end</blockquote>{end}</article>")
+
+    notice, advert = "<pre>All rights are reserved by the host of these pages</pre>", "<p>Read our letter</p>"
+    quote, section = "<p>As was said before</p>", "<p>Notice of a section</p>"
+    pages = [(i, f"http://big.example/{i}", story(i, advert if i % 3 else quote if i < 16 else "", notice)) for i in range(60)]
+    pages += [(i, f"http://big.example/{i}", story(i, "", section)) for i in range(60, 66)]  # a tenth of the host
+    pages += [(99, "http://big.example/99", page("<article><h2>Our service</h2></article>"))]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in main_text(df).collect()}
+    long = " of a long story" * 4
+    assert got[1] == f"Own 1 start{long}\nOwn 1 end" and got[62] == f"Own 62 start{long}\nOwn 62 end"
+    assert got[3] == f"Own 3 start{long}\nAs was said before\nOwn 3 end"  # on few pages, amid their own text
+    assert got[99] == "Our service"
+
+
 def test_broken_markup_does_not_fail():
     for source in ("<", "<p", "</p></div>", "<p a='", "<!--", "<script>x", "<li><li></ul>" * 50, "<div>" * 3000 + "deep"):
         read_page(source)
