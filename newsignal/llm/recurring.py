@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newsignal.llm import common, hashing
 
@@ -173,17 +173,24 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
 def sharded(texts: DataFrame, kind: Windows, shard_units: int, hot: int) -> DataFrame:
     """Context texts dealt into shards of about ``shard_units`` units, by their gram.
 
-    Equal windows meet in one shard.  A gram with more than ``hot`` contexts is split: its
-    windows are dealt one by one, by their own hash.  Adds shard, together (rows that must
-    meet have the same) and shift, the place of a row's first window within its context.
+    Equal windows meet in one shard.  Grams with more than ``hot`` contexts are left to
+    ``split_windows``.  Adds shard and together, the gram, whose rows must meet.
     """
-    texts = common.written(texts, "context-texts")
-    total = texts.agg(F.sum(F.col("windows") + F.lit(kind.span))).first()[0] or 0
+    few = texts.filter(F.col("n_contexts") <= hot)
+    total = few.agg(F.sum(F.col("windows") + F.lit(kind.span))).first()[0] or 0
     shards = F.lit(max(1, -(-total // shard_units)))
-    few = texts.filter(F.col("n_contexts") <= hot).select(
-        F.col("gram").alias("together"), "gram", "context", F.lit(0).alias("shift"), "doc_id",
-        "row_hash", "first", "windows", "body",
-    )
+    return few.select(
+        F.col("gram").alias("together"), "gram", "context", "doc_id", "row_hash", "first", "windows", "body",
+    ).withColumn("shard", F.pmod(F.xxhash64("together"), shards))
+
+
+def split_windows(texts: DataFrame, kind: Windows, hot: int) -> DataFrame:
+    """The windows of grams with more than ``hot`` contexts, one by one, written once.
+
+    Returns gram, context, shift (the place of the window in its context), place (doc_id,
+    row_hash, first) and key, a 128-bit hash that stands for the window.  Such windows are
+    compared by aggregates, so no task has to hold all copies of one.
+    """
     each = texts.filter(F.col("n_contexts") > hot).withColumn(
         "shift", F.explode(F.sequence(F.lit(0), F.col("windows") - 1))
     )
@@ -192,11 +199,16 @@ def sharded(texts: DataFrame, kind: Windows, shard_units: int, hot: int) -> Data
     else:
         words = F.split(F.col("body").cast("string"), " ")
         body = F.array_join(F.slice(words, F.col("shift") + 1, F.lit(kind.span)), " ").cast("binary")
-    each = each.withColumn("body", body).select(
-        F.xxhash64("body").alias("together"), "gram", "context", "shift", "doc_id", "row_hash",
-        (F.col("first") + F.col("shift")).alias("first"), F.lit(1).alias("windows"), "body",
-    )
-    return few.unionByName(each).withColumn("shard", F.pmod(F.xxhash64("together"), shards))
+    return common.written(each.select(
+        "gram", "context", "shift",
+        F.struct("doc_id", "row_hash", (F.col("first") + F.col("shift")).alias("first")).alias("place"),
+        F.unhex(F.md5(body)).alias("key"),
+    ), "split-windows")
+
+
+def one_window() -> Column:
+    """The range of a split window, as a row of FOUND has it."""
+    return F.array(F.struct(F.col("shift").alias("a"), (F.col("shift") + 1).alias("b"))).alias("found")
 
 
 def ranges(flags: np.ndarray) -> list[tuple[int, int]]:

@@ -33,6 +33,8 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     orders are merged.
     """
     n = len(text)
+    if n >= MOST or n and text.max() > MOST:
+        raise ValueError(f"{n} numbers do not fit into keys of {NAME_BITS} bits")
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: text[i:].tolist()), np.int64)
     padded = np.concatenate([text.astype(np.int64), np.zeros(3, np.int64)])
@@ -105,7 +107,7 @@ def repeated_windows(bodies: list[bytes], windows: list[int], span: int) -> list
 def by_gram(part: pd.DataFrame, most: int) -> Iterator[pd.DataFrame]:
     """Parts of a shard with at most ``most`` bytes; equal windows stay in one part.
 
-    A gram's contexts, or the copies of one window, stay together.
+    A gram's contexts stay together.
     """
     part = part.sort_values("together", kind="stable")
     sizes = part["body"].map(len).to_numpy() + 1
@@ -124,6 +126,18 @@ def by_gram(part: pd.DataFrame, most: int) -> Iterator[pd.DataFrame]:
         yield part.iloc[begin:]
 
 
+def repeated_splits(each: DataFrame) -> DataFrame:
+    """Rows of FOUND for split windows that stand in several contexts.
+
+    Equal windows have equal shifts in their contexts, so a context holds a window once.
+    Each window is one row after the map side; what recurs is written before the join,
+    which Spark splits where very many contexts hold one window.
+    """
+    several = each.groupBy("key").agg(F.min("context").alias("low"), F.max("context").alias("high"))
+    several = common.written(several.filter("low < high").select("key"), "several")
+    return each.join(several, "key", "left_semi").select("gram", "context", recurring.one_window())
+
+
 def repeated_bytes(
     rows: DataFrame, kind: recurring.Windows = recurring.BYTES_200,
     shard_bytes: int = SHARD_BYTES, hot: int = HOT_CONTEXTS,
@@ -134,22 +148,23 @@ def repeated_bytes(
     """
     points = recurring.recurring_points(rows, kind)
     known = recurring.contexts(points)
-    texts = recurring.context_texts(known.filter("n_contexts > 1"), rows, kind)
+    texts = common.written(
+        recurring.context_texts(known.filter("n_contexts > 1"), rows, kind), "context-texts"
+    )
     dealt = recurring.sharded(texts, kind, shard_bytes, hot)
 
     def shard(rows: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for part in by_gram(rows.drop_duplicates(["context", "gram", "shift"]), MOST // 2):
+        for part in by_gram(rows.drop_duplicates(["context", "gram"]), MOST // 2):
             flags = repeated_windows(part["body"].tolist(), part["windows"].tolist(), kind.span)
-            found = [
-                [{"a": a + s, "b": b + s} for a, b in recurring.ranges(f)]
-                for f, s in zip(flags, part["shift"])
-            ]
+            found = [[{"a": a, "b": b} for a, b in recurring.ranges(f)] for f in flags]
             part = part[["gram", "context"]].assign(found=found)
             out.append(part[part["found"].map(len) > 0])
         return pd.concat(out)
 
-    partly = recurring.per_context(dealt.groupBy("shard").applyInPandas(shard, recurring.FOUND))
+    in_shards = dealt.groupBy("shard").applyInPandas(shard, recurring.FOUND)
+    split = repeated_splits(recurring.split_windows(texts, kind, hot))
+    partly = recurring.per_context(in_shards.unionByName(split))
     known = common.written(
         known.select("gram", "context", "n").join(partly, ["gram", "context"], "left"), "verdicts"
     )

@@ -308,6 +308,25 @@ def test_repeated_bytes(docs, pairs, span, gram, hot):
     same(rows(got, "doc_id", "n_bytes", "n_removed", "n_spans", "sha"), brute.repeated_bytes(pairs, span))
 
 
+def test_suffix_array_rejects_what_its_keys_cannot_hold():
+    with pytest.raises(ValueError):
+        suffix_array(np.ones(suffix_dedup.MOST, np.int64))
+    with pytest.raises(ValueError):
+        suffix_array(np.array([1, suffix_dedup.MOST + 1, 1, 1]))
+
+
+def surrounded(n):
+    rng = np.random.RandomState(6)
+    passage = " ".join(f"w{i}" for i in rng.randint(0, 900, 60))[:206]
+    return [(i, f"{rng.bytes(6).hex()} {passage} {rng.bytes(6).hex()}") for i in range(n)]
+
+
+def test_window_with_very_many_surroundings(documents):
+    texts = surrounded(16_500)
+    got = drop_repeated_bytes(documents(texts)).withColumn("sha", F.sha2("body", 256))
+    same(rows(got, "doc_id", "n_bytes", "n_removed", "n_spans", "sha"), brute.repeated_bytes(texts, 200))
+
+
 @pytest.mark.parametrize("hot", [3, 4096])
 @pytest.mark.parametrize("span,gram", [(20, 6), (5, 2)])
 def test_repeated_phrases(docs, pairs, span, gram, hot):
@@ -316,6 +335,13 @@ def test_repeated_phrases(docs, pairs, span, gram, hot):
     same(rows(got, "doc_id", "n_words", "n_removed", "sha"), brute.repeated_phrases(pairs, span))
 
 
+def test_split_windows_keep_the_earliest_place(spark, documents):
+    texts = [(i if i else None, t) for i, t in surrounded(40)]
+    got = drop_repeated_phrases(documents(texts), hot=3).collect()
+    assert {r["n_removed"] > 0 for r in got if r["doc_id"]} == {True}
+    assert [r["n_removed"] for r in got if r["doc_id"] is None] == [0]  # the null id comes first
+
+
 def test_windows_of_long_sequences_are_whole(monkeypatch):
     monkeypatch.setattr(hashing, "CHUNK", 64)
     values = hashing.BYTE_VALUES[np.random.RandomState(2).randint(0, 3, 500)]
