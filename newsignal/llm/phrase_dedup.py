@@ -58,6 +58,17 @@ def later_windows(rows: pd.DataFrame, span: int) -> list[list[tuple[int, int]]]:
     return out
 
 
+def later_splits(each: DataFrame) -> DataFrame:
+    """Rows of FOUND for split windows that stand at an earlier place too.
+
+    The earliest place of a window is found on the map side first and written before the
+    join, which Spark splits where very many contexts hold one window.
+    """
+    ends = each.groupBy("key").agg(F.min("place").alias("least"), F.max("place").alias("most"))
+    ends = common.written(ends.filter("least < most").select("key", "least"), "earliest")
+    return each.join(ends, "key").filter("least < place").select("gram", "context", recurring.one_window())
+
+
 def repeated_phrases(
     rows: DataFrame, kind: recurring.Windows = recurring.WORDS_20,
     shard_words: int = SHARD_WORDS, hot: int = HOT_CONTEXTS,
@@ -69,21 +80,20 @@ def repeated_phrases(
     """
     points = recurring.recurring_points(rows, kind)
     known = recurring.contexts(points)
-    texts = recurring.context_texts(known.filter("n_contexts > 1"), rows, kind)
+    texts = common.written(
+        recurring.context_texts(known.filter("n_contexts > 1"), rows, kind), "context-texts"
+    )
     dealt = recurring.sharded(texts, kind, shard_words, hot)
 
     def shard(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.drop_duplicates(["context", "gram", "shift"])
-        found = [
-            [{"a": a + s, "b": b + s} for a, b in r]
-            for r, s in zip(later_windows(part, kind.span), part["shift"])
-        ]
+        part = part.drop_duplicates(["context", "gram"])
+        found = [[{"a": a, "b": b} for a, b in r] for r in later_windows(part, kind.span)]
         out = part[["gram", "context"]].assign(found=found)
         return out[out["found"].map(len) > 0]
 
-    later = recurring.per_context(
-        dealt.groupBy("shard").applyInPandas(shard, recurring.FOUND)
-    )
+    in_shards = dealt.groupBy("shard").applyInPandas(shard, recurring.FOUND)
+    split = later_splits(recurring.split_windows(texts, kind, hot))
+    later = recurring.per_context(in_shards.unionByName(split))
     known = common.written(
         known.select("gram", "context", "place").join(later, ["gram", "context"], "left"), "verdicts"
     )
