@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U64 = np.uint64
 STEP = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
@@ -144,6 +145,22 @@ def is_space(raw: np.ndarray) -> np.ndarray:
     return (raw == 32) | ((raw >= 9) & (raw <= 13))
 
 
+def distinct(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """A code for each of the disjoint, ordered byte ranges, and the different ranges.
+
+    Equal codes mean equal bytes: nothing is hashed that is not compared too.
+    """
+    edges = np.zeros(len(raw) + 1, np.int8)
+    edges[start] = 1
+    edges[end] -= 1
+    offsets = np.append(0, np.cumsum(end - start))
+    data = raw[np.cumsum(edges[:-1], dtype=np.int8).view(bool)]
+    column = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+    ).dictionary_encode()
+    return column.indices.to_numpy(zero_copy_only=False), column.dictionary.to_pylist()
+
+
 class Words:
     """Words of packed texts: byte ranges, hashes, and the range of words of each text."""
 
@@ -165,13 +182,6 @@ class Words:
         self.first, self.behind = bounds[:-1], bounds[1:]
 
     def hashes(self) -> np.ndarray:
-        out = np.empty(len(self.start), U64)
-        i = 0
-        while i < len(self.start):
-            j = int(np.searchsorted(self.end, self.start[i] + CHUNK, side="right"))
-            j = max(j, i + 1)
-            base = self.start[i]
-            runs = Runs(BYTE_VALUES[self.raw[base : self.end[j - 1]]])
-            out[i:j] = runs.hash(self.start[i:j] - base, self.end[i:j] - base)
-            i = j
-        return out
+        """A 64-bit hash of each word; every different word is hashed as a whole."""
+        codes, words = distinct(self.raw, self.start, self.end)
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, words), U64, len(words))[codes]
