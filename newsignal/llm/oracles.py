@@ -181,7 +181,42 @@ g AS (
 SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN g USING (doc_id)"""
 
+OP12 = f"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+p AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM t),
+one AS MATERIALIZED (SELECT lang, x, count(*) AS a FROM (SELECT lang, unnest(w) AS x FROM p) GROUP BY ALL),
+total AS (SELECT lang, sum(a)::BIGINT AS n FROM one GROUP BY lang),
+two AS MATERIALIZED (
+  SELECT lang, x, y, count(*) AS a FROM (SELECT lang, unnest(w[:-2]) AS x, unnest(w[2:]) AS y FROM p)
+  WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+three AS MATERIALIZED (
+  SELECT lang, x, y, z, count(*) AS a
+  FROM (SELECT lang, unnest(w[:-3]) AS x, unnest(w[2:-2]) AS y, unnest(w[3:]) AS z FROM p)
+  WHERE x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+longer AS (
+  SELECT lang, x, y, max(a) AS most FROM (
+    SELECT lang, x, y, a FROM three UNION ALL SELECT lang, y, z, a FROM three) GROUP BY ALL),
+cuts AS (
+  SELECT t.lang, concat_ws(' ', t.x, t.y) AS phrase, t.a, 1 AS k, l.a AS l, r.a AS r
+  FROM two t JOIN one l ON l.lang = t.lang AND l.x = t.x JOIN one r ON r.lang = t.lang AND r.x = t.y
+  LEFT JOIN longer m ON m.lang = t.lang AND m.x = t.x AND m.y = t.y WHERE coalesce(100 * most < 50 * t.a, true)
+  UNION ALL
+  SELECT t.lang, concat_ws(' ', t.x, t.y, t.z), t.a, 1, l.a, r.a
+  FROM three t JOIN one l ON l.lang = t.lang AND l.x = t.x
+  JOIN two r ON r.lang = t.lang AND r.x = t.y AND r.y = t.z
+  UNION ALL
+  SELECT t.lang, concat_ws(' ', t.x, t.y, t.z), t.a, 2, l.a, r.a
+  FROM three t JOIN two l ON l.lang = t.lang AND l.x = t.x AND l.y = t.y
+  JOIN one r ON r.lang = t.lang AND r.x = t.z),
+scored AS (SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cuts),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score FROM lowest JOIN total USING (lang) QUALIFY rank <= 2000"""
+
 ORACLES = {
     "op2_exact_dedup": OP2, "op3_mix_sources": OP3, "op4_jaccard_join": OP4, "op6_suffix_dedup": OP6,
     "op7_host_rules": OP7, "op8_line_dedup": OP8, "op10_phrase_dedup": OP10,
+    "op12_phrases": OP12,
 }

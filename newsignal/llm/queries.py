@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import newsignal
 from newsignal.llm import common
+from newsignal.llm.alignment import linked_documents
 from newsignal.llm.exact_dedup import exact_duplicates
 from newsignal.llm.host_rules import judge
 from newsignal.llm.html_extract import main_text
@@ -19,11 +20,13 @@ from newsignal.llm.mixing import mix
 from newsignal.llm.oracles import ORACLES  # noqa: F401
 from newsignal.llm.packing import pack_documents
 from newsignal.llm.phrase_dedup import drop_repeated_phrases
+from newsignal.llm.phrases import collocations
 from newsignal.llm.ring import Ring, bounded_ring_shards
 from newsignal.llm.suffix_dedup import drop_repeated_bytes
 
 SHARDS = 24
 VOCABULARY = "word_bpe_49k.json"
+ALIGNED = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 # Where workers cannot import this package, its functions travel with the tasks.
 ROOT = str(Path(newsignal.__file__).resolve().parents[1])
@@ -96,11 +99,24 @@ def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = map(vocabulary, ALIGNED)
+    return linked_documents(documents(spark, sf_dir), a, b).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256",
+        "n_overlap_links", "n_group_links",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_ring_shards, op2_exact_dedup, op3_mix_sources, op4_jaccard_join, op5_main_text,
         op6_suffix_dedup, op7_host_rules, op8_line_dedup, op9_pack, op10_phrase_dedup,
+        op12_phrases, op13_token_alignment,
     )
 }
 
