@@ -21,6 +21,7 @@ from newsignal.llm.oracles import ORACLES  # noqa: F401
 from newsignal.llm.packing import pack_documents
 from newsignal.llm.phrase_dedup import drop_repeated_phrases
 from newsignal.llm.phrases import collocations
+from newsignal.llm.quality_model import quality_scores
 from newsignal.llm.ring import Ring, bounded_ring_shards
 from newsignal.llm.suffix_dedup import drop_repeated_bytes
 
@@ -99,6 +100,10 @@ def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir), common.table(spark, sf_dir, "labels"))
+
+
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(documents(spark, sf_dir))
 
@@ -116,7 +121,7 @@ QUERIES = {
     for f in (
         op1_ring_shards, op2_exact_dedup, op3_mix_sources, op4_jaccard_join, op5_main_text,
         op6_suffix_dedup, op7_host_rules, op8_line_dedup, op9_pack, op10_phrase_dedup,
-        op12_phrases, op13_token_alignment,
+        op11_quality_scores, op12_phrases, op13_token_alignment,
     )
 }
 
