@@ -39,7 +39,7 @@ def later_windows(rows: pd.DataFrame, span: int) -> list[list[tuple[int, int]]]:
     automaton.make_automaton()
     # A null doc_id comes before all others, as in Spark's order.
     places = [
-        ((0, 0) if pd.isna(d) else (1, int(d)), int(h), int(f))
+        ((0, 0) if pd.isna(d) else (1, int(d)), bytes(h), int(f))
         for d, h, f in zip(rows["doc_id"], rows["row_hash"], rows["first"])
     ]
     hits = [[(end - span + 1, phrase) for end, phrase in automaton.iter(b)] for b in bodies]

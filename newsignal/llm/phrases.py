@@ -20,7 +20,7 @@ from newsignal.llm import common, hashing
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 NO_LANG = "und"
-SLICE = 16 << 20  # bytes of text whose stripes are built together
+SLICE = 8 << 20  # bytes of text whose stripes are built together
 HOT_SHARE = 4096  # a prefix with more than this part of all words has its stripe cut up
 PARTS = 64
 FILTER_BITS = 1 << 26

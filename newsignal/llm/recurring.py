@@ -46,7 +46,7 @@ def sample_points(docs: DataFrame, kind: Windows) -> DataFrame:
     Returns gram, context (hashes), doc_id, row_hash, first (first window), windows (their
     number).  Each window of each text belongs to exactly one of them.
     """
-    schema = "gram long, context long, doc_id long, row_hash int, first long, windows int"
+    schema = "gram long, context long, doc_id long, row_hash binary, first long, windows int"
 
     def points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -117,7 +117,7 @@ def context_texts(found: DataFrame, docs: DataFrame, kind: Windows) -> DataFrame
     same = docs["doc_id"].eqNullSafe(wanted["want_id"]) & (docs["row_hash"] == wanted["want_hash"])
     rows = docs.join(wanted, same).select("text", "wanted")
     schema = (
-        "gram long, context long, n_contexts long, doc_id long, row_hash int, first long, "
+        "gram long, context long, n_contexts long, doc_id long, row_hash binary, first long, "
         "windows int, body binary"
     )
 
@@ -139,7 +139,7 @@ def context_texts(found: DataFrame, docs: DataFrame, kind: Windows) -> DataFrame
                             (w["gram"], w["context"], w["n_contexts"], place["doc_id"],
                              place["row_hash"], place["first"], place["windows"], body)
                         )
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+                types = [pa.int64()] * 4 + [pa.binary(), pa.int64(), pa.int32(), pa.binary()]
                 names = ["gram", "context", "n_contexts", "doc_id", "row_hash", "first", "windows", "body"]
                 columns = list(zip(*out)) or [[]] * len(types)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
