@@ -26,7 +26,8 @@ ROUNDS = 60
 TOLERANCE = 1e-2
 FOLDS, HELD_OUT = 3, 1  # fixed values of the contract
 CALIBRATED = 5  # one of so many sample rows sets the scale of the scores
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
+SLICE = 2 << 20  # bytes of text whose n-grams are held at once
 SHAPES = bytes(
     97 if 97 <= b <= 122 or b >= 128 else 65 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else b for b in range(256)
 )
@@ -84,7 +85,7 @@ def with_indicators(docs: DataFrame) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for whole in batches:
-            for batch in common.slices(whole):
+            for batch in common.slices(whole, limit=SLICE):
                 rows, buckets = indicators(batch, known)
                 offsets = np.searchsorted(rows, np.arange(len(batch) + 1))
                 yield pa.RecordBatch.from_arrays(
@@ -103,16 +104,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == HELD_OUT, F.lit(False))
 
 
-def training_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Indicators of the labelled rows outside the held-out fold, with good (boolean).
+def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Indicators of the labelled rows outside the held-out fold, with good (boolean), written once.
 
     Of several labels of one doc_id the worst counts; other values than 0 and 1 are none.
+    Rows and labels meet in a sort-merge join, which Spark splits where one doc_id holds
+    very many rows.
     """
     known = labels.filter(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy(
         F.col("doc_id").alias("label_id")
     ).agg((F.min("quality") == 1).alias("good"))
-    wanted = rows.filter(~held_out(F.col("doc_id")))
-    return wanted.join(known, wanted["doc_id"] == known["label_id"]).select("doc_id", "buckets", "good")
+    wanted = with_indicators(docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))))
+    joined = wanted.join(known.hint("merge"), wanted["doc_id"] == known["label_id"])
+    return common.written(joined.select("doc_id", "buckets", "good"), "training")
 
 
 def class_counts(train: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -278,8 +282,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     the score of the constant.  Equal rows get equal scores; a null doc_id is never
     learned from.  Model tables have BUCKETS entries, whatever the corpus.
     """
-    rows = common.written(with_indicators(docs), "indicators")
-    model = fit(training_rows(rows, labels), sample)
+    model = fit(training_rows(docs, labels), sample)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,7 +291,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
                 [batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"]
             )
 
-    scored = rows.mapInArrow(score, "doc_id long, score double")
+    scored = with_indicators(docs).mapInArrow(score, "doc_id long, score double")
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),

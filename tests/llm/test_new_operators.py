@@ -328,7 +328,7 @@ def test_quality_cases(spark, documents, docs):
 def test_the_sample_bounds_the_fit_and_not_the_ratios(spark, documents):
     rows = quality_rows()
     labels = spark.createDataFrame([(d, int(d % 4 != 0)) for d, _ in rows], "doc_id long, quality int")
-    train = quality.training_rows(quality.with_indicators(documents(rows)), labels).cache()
+    train = quality.training_rows(documents(rows), labels)
     small, full = quality.fit(train, 40), quality.fit(train)
     assert (small.ratios == full.ratios).all() and (small.weights != full.weights).any()
 
