@@ -118,3 +118,20 @@ def macro_context(
     return joined.withColumns(
         {f"{t}_articles": F.coalesce(F.col(f"`{t}_articles`"), F.lit(0)) for t in topics}
     )
+
+
+# Sketches of 2**SKETCH_BITS cells; the standard error of their estimates.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def company_sketches(mart: DataFrame, company: str = "company_name") -> DataFrame:
+    """One row per industry and day: a sketch of its companies, and its mentions.
+
+    Sketches are merged over any choice of days and industries, so a distinct count over
+    years reads these rows and not the mart.
+    """
+    return mart.groupBy("industry", "event_date").agg(
+        F.hll_sketch_agg(company, F.lit(SKETCH_BITS)).alias("companies"),
+        F.sum("mention_count").alias("mention_count"),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 @dataclass(frozen=True)
@@ -74,3 +74,47 @@ def _tested(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
     rows = F.array(*[row(r, n) for r, n in zip(rules, names)])
     return measured.select(F.explode(rows).alias("r")).select("r.*")
+
+
+@dataclass(frozen=True)
+class Expected:
+    """What a store must hold after a run, beyond what always holds.
+
+    ``min_rows`` of each of its tables, ``min_days`` of raw articles, and measures of the
+    run's days that keep ``least_share`` of the mean of the ``trailing`` recorded days before
+    them, once there are ``at_least`` of those.
+    """
+
+    min_rows: int | None = None
+    min_days: int | None = None
+    trailing: int | None = None
+    least_share: float = 0.6
+    at_least: int = 5
+
+
+def day_metrics(df: DataFrame, table: str, by: str) -> DataFrame:
+    """(table, metric, date, value): the rows of each date."""
+    counts = df.groupBy(F.col(by).cast("string").alias("date")).agg(F.count(F.lit(1)).cast("double").alias("value"))
+    return counts.select(F.lit(table).alias("table"), F.lit("rows").alias("metric"), "date", "value")
+
+
+def with_quiet_days(metrics: DataFrame, names: list[tuple[str, str]], dates: list[str]) -> DataFrame:
+    """``metrics`` with 0 for the given (table, metric) and dates that have none."""
+    spark = metrics.sparkSession
+    every = spark.createDataFrame([(*n, d) for n in names for d in dates], "table string, metric string, date string")
+    keys = ["table", "metric", "date"]
+    return every.join(metrics, keys, "left").select(*keys, F.coalesce("value", F.lit(0.0)).alias("value"))
+
+
+def against_trailing(metrics: DataFrame, dates: list[str], expected: Expected) -> DataFrame:
+    """(table, metric, date, value, mean, ok) of the given dates against the recorded days before each.
+
+    A day with fewer than ``at_least`` days before it is fine.  The window of a measure holds
+    one row per day.
+    """
+    before = Window.partitionBy("table", "metric").orderBy("date").rowsBetween(-(expected.trailing or 0), -1)
+    judged = metrics.withColumns({"mean": F.avg("value").over(before), "_n": F.count("value").over(before)})
+    short = (F.col("_n") >= expected.at_least) & (F.col("value") < expected.least_share * F.col("mean"))
+    return judged.filter(F.col("date").isin(dates)).select(
+        "table", "metric", "date", "value", "mean", (~F.coalesce(short, F.lit(False))).alias("ok")
+    )

@@ -117,6 +117,15 @@ def kpis(mart: DataFrame, **choice) -> DataFrame:
     )
 
 
+def sketched_companies(sketches: DataFrame) -> DataFrame:
+    """One row: estimated number of companies and all mentions of chosen ``company_sketches``."""
+    merged = F.hll_union_agg("companies")
+    return sketches.agg(
+        F.coalesce(F.hll_sketch_estimate(merged), F.lit(0)).alias("estimated"),
+        F.sum("mention_count").alias("total_mentions"),
+    )
+
+
 def entity_trend(mart: DataFrame, **choice) -> DataFrame:
     """Score and mentions over time per company, the last day flagged.
 
@@ -163,10 +172,16 @@ def name_fix(df: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def latest_runs(runs: DataFrame, n: int = 10) -> DataFrame:
-    """The most recent pipeline runs."""
+    """The last attempt of each of the ``n`` most recent run dates, newest first.
+
+    A log without attempts counts each row as the first one of its date.
+    """
+    if "attempt" not in runs.columns:
+        runs = runs.withColumn("attempt", F.lit(1))
+    last = first_per_key(runs, ["run_date"], [F.desc("attempt"), "status", "articles_processed", "errors"])
     return (
-        runs.select("run_date", "status", "articles_processed", "errors")
-        .orderBy(F.desc("run_date"), "status", "articles_processed")
+        last.select("run_date", "status", "articles_processed", "errors", "attempt")
+        .orderBy(F.desc("run_date"))
         .limit(n)
     )
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -131,6 +132,132 @@ def score_with_model(
     )
 
 
+@dataclass(frozen=True)
+class TokenModel:
+    """A model over tokens: ``encode`` gives those of a text, ``score`` takes windows of them.
+
+    ``score`` returns an N x 3 array; its cost is that of N times the longest window.
+    """
+
+    encode: Callable[[str], Sequence]
+    score: Callable[[list[Sequence]], np.ndarray]
+
+
+def token_batches(lengths: Sequence[int], budget: int) -> list[list[int]]:
+    """Indices in batches whose size times their longest length is at most ``budget``.
+
+    Windows of like length share a batch, so little of it is padding.  A window above the
+    budget is a batch of its own.
+    """
+    batches: list[list[int]] = []
+    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+        if batches and (len(batches[-1]) + 1) * max(lengths[batches[-1][0]], 1) <= budget:
+            batches[-1].append(i)
+        else:
+            batches.append([i])
+    return batches
+
+
+def _score_apart(score: Callable, windows: list[Sequence]) -> list[np.ndarray | str]:
+    """A row of probabilities for each window, or the error that it alone causes."""
+    try:
+        rows = np.asarray(score(windows), float)
+        if rows.shape != (len(windows), 3):
+            raise ValueError(f"the model gave {rows.shape} for {len(windows)} windows")
+        return list(rows)
+    except Exception as e:
+        if len(windows) == 1:
+            return [f"{type(e).__name__}: {e}"[:500]]
+        half = len(windows) // 2
+        return _score_apart(score, windows[:half]) + _score_apart(score, windows[half:])
+
+
+def score_texts(model: TokenModel, texts: Sequence[str | None], max_tokens: int, batch_tokens: int) -> pd.DataFrame:
+    """Probabilities, n_tokens and score_error of each text, in order."""
+    tokens, errors = [], []
+    for text_ in texts:
+        try:
+            tokens.append(model.encode(text_ or ""))
+            errors.append(None)
+        except Exception as e:
+            tokens.append([])
+            errors.append(f"{type(e).__name__}: {e}"[:500])
+    windows, owner = [], []
+    for i, own in enumerate(tokens):
+        if errors[i] is None:
+            for start in range(0, max(len(own), 1), max_tokens):
+                windows.append(own[start : start + max_tokens])
+                owner.append(i)
+    sums, weights = np.zeros((len(texts), 3)), np.zeros(len(texts))
+    for batch in token_batches([len(w) for w in windows], batch_tokens):
+        for k, row in zip(batch, _score_apart(model.score, [windows[k] for k in batch])):
+            if isinstance(row, str):
+                errors[owner[k]] = row
+            else:
+                weight = max(len(windows[k]), 1)
+                sums[owner[k]] += weight * row
+                weights[owner[k]] += weight
+    good = np.array([e is None for e in errors], bool)
+    rows = np.where(good[:, None], sums / np.maximum(weights, 1)[:, None], np.nan)
+    return pd.DataFrame(rows, columns=PROBABILITIES).assign(n_tokens=[len(t) for t in tokens], score_error=errors)
+
+
+def score_in_budget(
+    df: DataFrame, factory: Callable[[], TokenModel], max_tokens: int = 512, batch_tokens: int = 8192,
+    text_col: str = "text",
+) -> DataFrame:
+    """Scores whole texts with a model that has a token limit, in batches of bounded size.
+
+    A text above ``max_tokens`` is cut into windows of that many tokens, whose
+    probabilities are averaged by their tokens.  A batch holds at most ``batch_tokens``
+    tokens, padding included, so long texts come few at a time and short ones many.  A text
+    on which the model fails has null scores and the failure in ``score_error``; the rest
+    of its batch is scored.  Adds ``n_tokens``.  The model is loaded once per task.
+    """
+    types = ", ".join(f"{p} double" for p in PROBABILITIES)
+
+    @F.pandas_udf(f"{types}, n_tokens int, score_error string")
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = factory()
+        for texts in batches:
+            yield score_texts(model, texts.tolist(), max_tokens, batch_tokens)
+
+    scored = df.withColumn("_p", scores(F.col(text_col)))
+    columns = {c: F.col("_p")[c] for c in [*PROBABILITIES, "n_tokens", "score_error"]}
+    labelled = label_and_score(scored.withColumns(columns).drop("_p"))
+    failed = F.col("score_error").isNotNull()
+    return labelled.withColumns({
+        c: F.when(~failed, F.col(c)) for c in ("sentiment_label", "sentiment_score")
+    })
+
+
+def share_model(
+    positive: Sequence[str], negative: Sequence[str], refused: Sequence[str] = (),
+) -> Callable[[], TokenModel]:
+    """Shares of list words among the tokens as a token model; fails on windows with a refused word."""
+    pattern = text.TOKEN
+
+    def factory() -> TokenModel:
+        import regex
+
+        token = regex.compile(pattern)
+        pos, neg, no = set(positive), set(negative), set(refused)
+
+        def score(windows: list[Sequence]) -> np.ndarray:
+            rows = np.empty((len(windows), 3))
+            for i, window in enumerate(windows):
+                if not no.isdisjoint(window):
+                    raise ValueError("refused word")
+                n = max(len(window), 1)
+                p, q = sum(t in pos for t in window) / n, sum(t in neg for t in window) / n
+                rows[i] = p, q, 1 - p - q
+            return rows
+
+        return TokenModel(lambda body: token.findall(body.lower()), score)
+
+    return factory
+
+
 def _scores_of(scores: DataFrame, model_version: str, dates: list[str] | None) -> DataFrame:
     of_model = scores.filter(F.col("model_version") == model_version)
     return of_model if dates is None else of_model.filter(F.col("date").cast("string").isin(dates))

@@ -1140,7 +1140,7 @@ def run_log_latest(spark, sf):
         "status", F.when(F.size("zero_coverage_tickers") > 0, "partial").otherwise("success")
     )
     sinks.append_runs(runs, database)
-    return report.latest_runs(tables.read_mart(spark, database, "pipeline_runs"))
+    return report.latest_runs(tables.read_mart(spark, database, "pipeline_runs")).drop("attempt")
 
 
 # ---- Streams ---------------------------------------------------------------------------

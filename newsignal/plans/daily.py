@@ -13,7 +13,9 @@ from newsignal.functions.dates import lookback
 from newsignal.operators import (
     aggregate, clean, correlate, coverage, prices, quality, scoring, tagging,
 )
-from newsignal.sources import articles as article_files, sinks, tables
+from newsignal.plans import carried
+from newsignal.sources import articles as article_files, files, keys, sinks, tables
+from newsignal.sources.snapshots import Snapshots
 
 HEADLINE_ORDER = ["publishedAt", "dedup_key"]
 MENTION = [*schemas.SCORED.names, "publishedAt"]
@@ -112,54 +114,70 @@ def run_day(
     model_version: str = "words-1",
     score: Callable[[DataFrame], DataFrame] = scoring.score_by_words,
     label_rule: str = "shares", mode: str = "substring",
+    expected: quality.Expected | None = None, published: Snapshots | None = None,
 ) -> dict[str, int]:
-    """Runs the given dates and publishes the marts; safe to run again.
+    """Runs the given dates and writes the marts; safe to run again.
 
     Each stage is written below ``store`` and read back, so a lost executor repeats one
     stage only.  A stage replaces exactly its dates, those without rows included.  Besides
     the dates, the next stored price of each ticker and all later correlations are
-    renewed.  Each run adds a row per date to the run log, also when it fails.  Returns
-    the rows written by each stage, as the writes themselves observed them.
+    renewed; what they need of earlier days is carried from run to run (see ``carried``).
+    Each run adds a row per date to the run log: "failed" when it breaks off or when a
+    check fails, with the reason.  A run whose checks hold publishes its marts' dates in
+    one commit to ``published``.  Returns the rows written by each stage, as the writes
+    themselves observed them.
     """
     dates = sorted(dates)
     rows: dict[str, int] = {}
     try:
         documents = ingest(spark, inputs, store, dates, mode)
-        rows |= _publish(spark, inputs, store, database, dates, model_version, score, label_rule)
-        checks = run_checks(spark, store, database, dates)
-        failed = [r["check"] for r in checks.filter("not ok").collect()]
+        written, touched = _write_stages(spark, inputs, store, database, dates, model_version, score, label_rule)
+        rows |= written
+        record_metrics(spark, store, dates)
+        failed = [r["check"] for r in run_checks(spark, store, database, dates, expected).filter("not ok").collect()]
+        if published is not None and not failed:
+            marts = {t: tables.read_mart(spark, database, t).filter(F.col("event_date").isin(d)) for t, d in touched.items()}
+            published.publish({t: (mart, touched[t]) for t, mart in marts.items()})
     except Exception as e:
         _log(spark, database, dates, "failed", f"{type(e).__name__}: {e}"[:2000])
         raise
-    notes = "; ".join(f"check failed: {c}" for c in failed)
+    status, notes = "failed" if failed else "success", "; ".join(f"check failed: {c}" for c in failed)
     if documents is not None:
-        sinks.append_runs(coverage.run_rows(documents, errors=notes), database)
+        sinks.append_runs(coverage.run_rows(documents, status, notes), database)
     else:
-        _log(spark, database, dates, "success", notes)
+        _log(spark, database, dates, status, notes)
     return rows
 
 
+def record_metrics(spark: SparkSession, store: str, dates: list[str]) -> None:
+    """Stores the rows of each date in articles, clean and mentions, as history for later runs."""
+    stages = [("articles", "date"), ("clean", "date"), ("mentions", "event_date")]
+    counts = tables.union_all([
+        quality.day_metrics(tables.read_dates(spark, f"{store}/{name}", dates, by), name, by) for name, by in stages
+    ])
+    names = [(name, "rows") for name, _ in stages]
+    sinks.replace_dates(quality.with_quiet_days(counts, names, dates), f"{store}/metrics", dates)
+
+
 def _log(spark: SparkSession, database: str, dates: list[str], status: str, errors: str) -> None:
     runs = spark.createDataFrame([(d, status, 0, [], errors) for d in dates], schemas.RUN)
     sinks.append_runs(runs, database)
 
 
-def _publish(
+def _write_stages(
     spark: SparkSession, inputs: Inputs, store: str, database: str, dates: list[str],
     model_version: str, score: Callable[[DataFrame], DataFrame], label_rule: str,
-) -> dict[str, int]:
-    """The stages behind ingest."""
+) -> tuple[dict[str, int], dict[str, list[str]]]:
+    """The stages behind ingest: rows written by each, and the dates of each mart."""
     rows: dict[str, int] = {}
 
     def stage(name: str, date: str = "date") -> DataFrame:
         return tables.read_dates(spark, f"{store}/{name}", dates, date)
 
+    known = keys.create_keys(spark, database)
     cleaned = clean.clean_articles(stage("articles").drop("dedup_key"))
-    history = sinks.stored_or_none(spark, f"{store}/clean")
-    if history is not None:
-        other = history.filter(~F.col("date").cast("string").isin(dates))
-        cleaned = clean.not_stored(cleaned, other, ["dedup_key"])
-    rows["clean"] = sinks.replace_dates(cleaned, f"{store}/clean", dates)
+    rows["clean"] = sinks.replace_dates(keys.unseen(cleaned, known, dates), f"{store}/clean", dates)
+    keys.replace_keys(stage("clean"), known, dates)
 
     tagged = tagging.combine_tags(tagging.match_entities(stage("clean"), inputs.entities))
     relevant = scoring.with_scoring_text(tagged.filter(F.size("matched_tickers") > 0))
@@ -193,64 +211,52 @@ def _publish(
         aggregate.sentiment_mart(mentions, HEADLINE_ORDER, label_rule), database,
         "company_sentiment", dates,
     )
+    carried.forget_from(spark, f"{store}/carried/tail", dates[0])
     rows["daily"] = sinks.replace_dates(
         aggregate.daily_mean(mentions), f"{store}/daily", dates, "event_date"
     )
 
-    closes = inputs.closes.filter(F.col("event_date").cast("string").isin(dates))
-    closes = tables.normalize_closes(closes, inputs.entities)
-    unique = prices.one_close_per_day(closes, close_order(closes))
-    sinks.replace_dates(
-        unique.select("ticker", "industry", F.col("close").cast("double").alias("close"),
-                      F.col("event_date").cast("string").alias("event_date")),
-        f"{store}/closes", dates, "event_date",
-    )
-    all_closes = tables.read_partitioned(spark, f"{store}/closes")
-    early = inputs.closes.filter(F.col("event_date").cast("string") < dates[0])
-    early = tables.normalize_closes(early, inputs.entities)
-    early = prices.one_close_per_day(early, close_order(early)).select(
-        "ticker", "industry", F.col("close").cast("double").alias("close"),
-        F.col("event_date").cast("string").alias("event_date"),
-    )
-    all_closes = all_closes.unionByName(
-        early.join(all_closes.select("ticker", "event_date"), ["ticker", "event_date"], "left_anti")
-    )
-    changed = prices.changes_around(all_closes, dates[0], dates[-1])
-    stored = sinks.stored_or_none(spark, f"{store}/prices")
-    price_days = sorted(
-        {*dates, *(r["event_date"] for r in changed.select("event_date").distinct().collect())}
-    )
-    if stored is not None:  # the next day of one ticker may hold rows of others
-        stored = stored.withColumn("event_date", F.col("event_date").cast("string"))
-        others = stored.filter(F.col("event_date").isin(price_days) & (F.col("event_date") > dates[-1]))
-        changed = changed.unionByName(
-            others.join(changed.select("ticker", "event_date"), ["ticker", "event_date"], "left_anti")
+    def one_close(closes: DataFrame) -> DataFrame:
+        rows = tables.normalize_closes(closes, inputs.entities)
+        return prices.one_close_per_day(rows, close_order(rows)).select(
+            "ticker", "industry", F.col("close").cast("double").alias("close"),
+            F.col("event_date").cast("string").alias("event_date"),
         )
-    rows["price_data"] = sinks.replace_dates(changed, f"{store}/prices", price_days, "event_date")
+
+    day = F.col("event_date").cast("string")
+    fresh, early = inputs.closes.filter(day.isin(dates)), inputs.closes.filter(day < dates[0])
+    rows["price_data"], price_days = carried.run_closes(
+        spark, one_close(fresh), store, dates, one_close(early)
+    )
     sinks.overwrite_mart(
         tables.read_dates(spark, f"{store}/prices", price_days, "event_date"), database,
         "price_data", price_days,
     )
 
-    joined = correlate.sentiment_price_join(
-        tables.read_partitioned(spark, f"{store}/daily"),
-        tables.read_partitioned(spark, f"{store}/prices"),
-    )
     # Later days look back at the days of this run, so they are renewed as well.
-    renewed = correlate.rolling_corr(joined).filter(F.col("event_date") >= dates[0])
+    renewed = carried.run_correlation(spark, store, dates)
     mart = tables.read_mart(spark, database, "sentiment_price_correlation")
     later = mart.filter(F.col("event_date") >= dates[0]).select("event_date").distinct().collect()
-    rows["correlation"] = sinks.overwrite_mart(
-        renewed, database, "sentiment_price_correlation",
-        sorted({*dates, *price_days, *(r["event_date"] for r in later)}),
-    )
-    return rows
+    corr_days = sorted({*dates, *price_days, *(r["event_date"] for r in later)})
+    rows["correlation"] = sinks.overwrite_mart(renewed, database, "sentiment_price_correlation", corr_days)
+    return rows, {
+        "company_sentiment": dates, "price_data": price_days, "sentiment_price_correlation": corr_days
+    }
 
 
-def run_checks(spark: SparkSession, store: str, database: str, dates: list[str]) -> DataFrame:
-    """Checks of the stores and marts on the dates of a run: (table, check, ok, detail)."""
+def run_checks(
+    spark: SparkSession, store: str, database: str, dates: list[str], expected: quality.Expected | None = None,
+) -> DataFrame:
+    """Checks of the stores and marts on the dates of a run: (table, check, ok, detail).
+
+    With ``expected`` also that each of them has rows, that enough raw days are stored, and
+    that no date of the run falls behind the recorded days before it.
+    """
+    expected = expected or quality.Expected()
+    least = [] if expected.min_rows is None else [quality.min_rows(expected.min_rows)]
+
     def check(table: str, df: DataFrame, rules: list[quality.Rule]) -> DataFrame:
-        return quality.expectations(df, rules).select(
+        return quality.expectations(df, rules + least).select(
             F.lit(table).alias("table"), F.concat(F.lit(f"{table}."), "check").alias("check"),
             "ok", "detail",
         )
@@ -258,7 +264,7 @@ def run_checks(spark: SparkSession, store: str, database: str, dates: list[str])
     def mart(name: str) -> DataFrame:
         return tables.read_mart(spark, database, name).filter(F.col("event_date").isin(dates))
 
-    return tables.union_all(
+    found = tables.union_all(
         [
             check("articles", tables.read_dates(spark, f"{store}/articles", dates),
                   [quality.unique_key("date", "dedup_key"), quality.max_nulls("dedup_key")]),
@@ -273,3 +279,16 @@ def run_checks(spark: SparkSession, store: str, database: str, dates: list[str])
                   [quality.unique_key("event_date", "ticker"), quality.max_nulls("correlation_7d")]),
         ]
     )
+    if expected.min_days is not None:
+        days = len(files.partitions(spark, f"{store}/articles", "date"))
+        row = [("articles", "articles.days", days >= expected.min_days, float(days))]
+        found = found.unionByName(spark.createDataFrame(row, found.schema))
+    if expected.trailing is not None:
+        since = (dt.date.fromisoformat(min(dates)) - dt.timedelta(days=2 * expected.trailing)).isoformat()
+        history = tables.read_partitioned(spark, f"{store}/metrics", "date").filter(
+            (F.col("date") >= since) & (F.col("date") <= max(dates))
+        )
+        found = found.unionByName(quality.against_trailing(history, dates, expected).select(
+            "table", F.concat_ws(".", "table", "metric", "date").alias("check"), "ok", F.col("value").alias("detail")
+        ))
+    return found

@@ -158,7 +158,7 @@ def append_scores(scored: DataFrame, path: str, key: str = "dedup_key") -> None:
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """Replaces only partitions that are written; tables take this from the session."""
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
@@ -185,7 +185,7 @@ def overwrite_mart(
     if dates is not None:
         rows = rows.filter(F.col(partition).isin(dates))
     rows, seen = counted(rows, partition)
-    with _dynamic_overwrite(df.sparkSession):
+    with dynamic_overwrite(df.sparkSession):
         rows.hint("rebalance", partition).write.insertInto(f"{database}.{table}", overwrite=True)
     written, found = observed(seen)
     for date in sorted(set(dates or []) - set(found)):

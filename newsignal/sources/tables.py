@@ -11,6 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from newsignal import schemas
 from newsignal.functions import text
+from newsignal.sources import files
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
@@ -45,8 +46,12 @@ def read_partitioned(spark: SparkSession, path: str, date: str = "event_date") -
 
 
 def read_dates(spark: SparkSession, path: str, dates: list[str], date: str = "date") -> DataFrame:
-    """The given dates of a dataset partitioned by date; only their folders are read."""
-    return read_partitioned(spark, path, date).filter(F.col(date).isin(dates))
+    """The given dates of a dataset partitioned by date; only their folders are listed and read."""
+    kept = sorted(set(dates) & set(files.partitions(spark, path, date)))
+    if not kept:
+        return read_partitioned(spark, path, date).filter(F.col(date).isin(dates))
+    df = spark.read.option("basePath", path).parquet(*[f"{path}/{date}={day}" for day in kept])
+    return df.withColumn(date, F.col(date).cast("string"))
 
 
 def with_path_date(df: DataFrame, date: str = "event_date") -> DataFrame:
