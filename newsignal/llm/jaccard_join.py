@@ -96,8 +96,8 @@ def sketch(tokens: np.ndarray) -> np.ndarray:
 
 
 def described(docs: DataFrame, similar: Similar) -> DataFrame:
-    """doc_id, n_shingles, x and y (128-bit hash of the set) and sketch (null for no shingle)."""
-    schema = "doc_id long, n_shingles long, x long, y long, sketch binary"
+    """doc_id, row_hash, n_shingles, x and y (128-bit hash of the set) and sketch (null for no shingle)."""
+    schema = "doc_id long, row_hash binary, n_shingles long, x long, y long, sketch binary"
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -110,14 +110,14 @@ def described(docs: DataFrame, similar: Similar) -> DataFrame:
                     sketches.append(sketch(tokens).tobytes() if len(tokens) else None)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()),
+                        batch.column("doc_id").cast(pa.int64()), batch.column("row_hash"), pa.array(n, pa.int64()),
                         *[pa.array(np.array(c, U64).view(np.int64)) for c in (x, y)],
                         pa.array(sketches, pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "x", "y", "sketch"],
+                    names=["doc_id", "row_hash", "n_shingles", "x", "y", "sketch"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(describe, schema)
+    return docs.select("doc_id", "row_hash", "text").mapInArrow(describe, schema)
 
 
 def marks(docs: DataFrame, similar: Similar) -> DataFrame:
@@ -353,15 +353,16 @@ def jaccard_groups(
     docs: DataFrame, similar: Similar = FIVE_80, task_tokens: int = TASK_TOKENS,
     group_docs: int = GROUP_DOCS,
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
+    """One row per document: doc_id, row_hash (see ``common.text_key``), n_shingles, component_id.
 
     Documents link when their shingle sets are similar enough; component_id is the
-    smallest doc_id that links can reach.  No link between different sets is lost: equal
-    sets become one node, sets that might link share a family, and families are compared
-    in full.  A document without words is alone.  Rows that share a doc_id are one node
-    of the graph.  A null doc_id takes no part and has a null component_id.
+    smallest doc_id that links can reach.  Equal sets become one node, sets that might link
+    share a family, and families are compared in full; a link between different sets is
+    missed with a chance below 1e-10, that of two similar sets with unlike sketches.  A
+    document without words is alone.  Rows that share a doc_id are one node of the graph.  A
+    null doc_id takes no part and has a null component_id.
     """
-    rows = docs.select("doc_id", common.text_of().alias("text"))
+    rows = common.keyed(docs)
     sets = common.written(described(rows, similar), "sets")
     usable = sets.filter("doc_id is not null and n_shingles > 0")
     classes = usable.groupBy("x", "y").agg(
@@ -381,8 +382,8 @@ def jaccard_groups(
     named = classes.join(reached, "node", "left").select(
         "x", "y", F.coalesce("component", "node").alias("component_id")
     )
-    keep = sets.select("doc_id", "n_shingles", "x", "y")
+    keep = sets.select("doc_id", "row_hash", "n_shingles", "x", "y")
     linked = keep.filter("doc_id is not null and n_shingles > 0").join(named, ["x", "y"])
     alone = keep.filter("doc_id is null or n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "n_shingles", "component_id"]
+    columns = ["doc_id", "row_hash", "n_shingles", "component_id"]
     return linked.select(*columns).unionByName(alone.select(*columns))

@@ -141,8 +141,8 @@ def mix(
     flattened).  With ``kept_share`` that share of all tokens is expected to stay: see
     ``rake_within``.  Without it a document's probability is its cell's raked weight per
     token, scaled so that the scarcest cell is kept whole, so that one cell sets the kept
-    share of all.  The hash of doc_id decides.  Documents without a word cost nothing and
-    stay.  Returns doc_id, row_hash, the dimensions, n_tokens, probability and kept.
+    share of all.  The hash of doc_id decides; with ``kept_share`` rows without a doc_id are
+    drawn one by one, by their text.  Documents without a word cost nothing and stay.  Returns doc_id, row_hash, the dimensions, n_tokens, probability and kept.
     """
     rows = common.written(weighed(docs), "mix-rows")
     counted = rows.groupBy(*DIMS).agg(F.sum("n_tokens").alias("n_tokens"))
@@ -162,4 +162,7 @@ def mix(
         "probability",
         F.when(F.col("n_tokens") == 0, 1.0).otherwise(F.coalesce("probability", F.lit(0.0))),
     )
-    return out.withColumn("kept", unit_hash(F.col("doc_id"), seed) < F.col("probability"))
+    key = F.col("doc_id").cast("string")
+    if kept_share is not None:
+        key = F.coalesce(key, F.hex("row_hash"))
+    return out.withColumn("kept", unit_hash(key, seed) < F.col("probability"))

@@ -191,7 +191,8 @@ def pack(pieces: DataFrame, capacity: int = SEQUENCE, pool: int = POOL) -> DataF
     """Adds sequence_id and offset to pieces with doc_id, piece and length (1 to capacity).
 
     Pieces are dealt by the hash of doc_id and piece into pools of about ``pool`` pieces,
-    which pack independently; a pool wastes at most a few sequences.
+    which pack independently; a pool wastes at most a few sequences.  Pieces without a
+    doc_id are dealt by their place in the input, so they fill no pool of their own.
     """
     pools = max(1, -(-pieces.count() // pool))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -201,8 +202,9 @@ def pack(pieces: DataFrame, capacity: int = SEQUENCE, pool: int = POOL) -> DataF
         out["sequence_id"] = (key[0] << 32) + out["sequence"]
         return out[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
 
-    dealt = F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(pools)).alias("pool")
-    return pieces.groupBy(dealt).applyInPandas(packed, schema)
+    place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    dealt = F.pmod(F.xxhash64("doc_id", "piece", "start", place), F.lit(pools))
+    return pieces.withColumn("pool", dealt).groupBy("pool").applyInPandas(packed, schema)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, pool: int = POOL) -> DataFrame:

@@ -62,7 +62,7 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_groups(documents(spark, sf_dir), THREE_90)
+    return jaccard_groups(documents(spark, sf_dir), THREE_90).drop("row_hash")
 
 
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
