@@ -28,13 +28,24 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest doc_id of each group of near copies (and those with no id).
+    """One row of each group of near copies: one with the group's smallest doc_id.
 
-    Documents that line dedup left without a word have nothing to be copies of and stay.
+    Rows get numbers of their own, so rows that share a doc_id go or stay each by its text, and
+    one of equal rows stays.  Rows without a doc_id, and documents that line dedup left
+    without a word, have nothing to be copies of and stay.
     """
-    groups = jaccard_groups(docs, FIVE_80)
-    gone = groups.filter("component_id <> doc_id").select(F.col("doc_id").alias("copy_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["copy_id"], "left_anti")
+    number = common.fresh(docs, "row_number")
+    numbered = docs.withColumn(number, F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id()))
+    rows = common.written(numbered, "near-rows")
+    own = rows.select(F.col("doc_id").alias("own_id"), F.col(number).alias("doc_id"), "text")
+    groups = common.written(
+        jaccard_groups(own, FIVE_80).filter("component_id is not null and n_shingles > 0").select("doc_id", "component_id"),
+        "near-groups",
+    )
+    named = groups.join(own.select("doc_id", "own_id"), "doc_id")
+    first = named.groupBy("component_id").agg(F.min(F.struct("own_id", "doc_id"))["doc_id"].alias("first"))
+    gone = groups.join(first, "component_id").filter("doc_id <> first").select(F.col("doc_id").alias("gone"))
+    return rows.join(gone, rows[number] == gone["gone"], "left_anti").drop(number)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
