@@ -16,7 +16,7 @@ from newsignal.operators.quality import Expected
 from newsignal.plans.daily import Inputs, run_day
 from newsignal.plans.catalog_runs import _attempts, rerun_month
 from newsignal.session import scratch_dir
-from newsignal.sources import keys, sinks, tables
+from newsignal.sources import articles as article_files, arrays, keys, sinks, tables
 from newsignal.sources.snapshots import Snapshots
 from newsignal.streaming import ingest
 from newsignal.streaming.first_wins import first_wins_stream, rocksdb
@@ -354,3 +354,44 @@ def quality_history(spark, sf):
         "run_date", "attempt", "status", F.contains("errors", F.concat(F.lit("articles.rows."), "run_date")).alias("articles_flagged"),
         "articles_processed", F.lit(len(published.versions())).cast("long").alias("commits"),
     )
+
+
+# ---- Large array files -----------------------------------------------------------------
+
+BLOCK = 64 << 10
+
+
+@query(
+    "array_file_split",
+    with_(d.ARTICLES_SQL) + """
+    SELECT date, url, title, description, false AS broken FROM articles
+    UNION ALL SELECT 'unknown', NULL, NULL, '{ not json ' || doc_id, true FROM articles WHERE doc_id % 50 = 0""",
+)
+def array_file_split(spark, sf):
+    """One file with one indented JSON array of all articles, read by a task per 64 KB.
+
+    Broken records among them are kept apart with their text.
+    """
+    base = scratch_dir(spark, "array")
+    rows = d.articles(spark, sf)
+    record = F.struct(*[F.col(f.name) for f in schemas.ARTICLE])
+    body = F.to_json(record, {"pretty": "true", "ignoreNullFields": "false"})
+    good = rows.select("doc_id", F.concat(F.lit("  "), F.replace(body, F.lit("\n"), F.lit("\n  ")), F.lit(",")).alias("value"))
+    bad = rows.filter("doc_id % 50 = 0").select("doc_id", F.concat(F.lit("  { not json "), "doc_id").alias("value"))
+    ends = spark.createDataFrame([(-1, "["), (1 << 62, "]")], "doc_id long, value string")
+    every = good.unionByName(bad).unionByName(ends).orderBy("doc_id", F.desc("value"))
+    every.select("value").coalesce(1).write.text(f"{base}/in")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BLOCK))
+    try:
+        arrays.read_array_files(spark, f"{base}/in", "*.txt").write.parquet(f"{base}/out")
+    finally:
+        spark.conf.set(key, before)
+    read = spark.read.parquet(f"{base}/out")
+    broken = article_files.broken_records(read).select(
+        "date", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("title"),
+        F.col("text").alias("description"), F.lit(True).alias("broken"),
+    )
+    whole = article_files.good_articles(read).select("date", "url", "title", "description", F.lit(False).alias("broken"))
+    return whole.unionByName(broken)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import random
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from newsignal.operators import aggregate, clean, correlate, prices, quality, report, scoring
 from newsignal.plans import carried
-from newsignal.sources import files, keys, sinks, tables
+from newsignal.sources import arrays, files, keys, sinks, tables
 from newsignal.sources.snapshots import Conflict, Snapshots
 from newsignal.streaming.first_wins import first_wins_stream, rocksdb
 from newsignal.streaming.ingest import store_stream
@@ -315,3 +316,40 @@ def test_the_last_attempt_is_the_status_of_a_date(spark):
     out = [(r["run_date"], r["status"]) for r in report.latest_runs(runs, 2).collect()]
     assert out == [(DAYS[2], "success"), (DAYS[1], "failed")]
     assert report.latest_runs(runs).collect()[-1]["status"] == "success"
+
+
+# ---- Array files --------------------------------------------------------------------------
+
+
+def array_text(records, broken, indent):
+    lines = json.dumps(records, indent=indent, ensure_ascii=False).split("\n")
+    if broken:
+        at = next(i for i in range(len(lines) // 2, len(lines)) if lines[i].startswith(" " * indent + "{"))
+        lines[at:at] = [" " * indent + '{ "title": not json,', " " * indent + "}, oh"]
+    return "\n".join(lines)
+
+
+@pytest.mark.parametrize("size", [900, 1 << 20])
+def test_array_files_are_cut_at_records(spark, tmp_path, size):
+    rng = random.Random(8)
+    records = [
+        {"title": f"t{i} " + "{[\\n]} " * rng.randint(0, 6), "url": rng.choice([None, "http://x/é"]), "date": "2024-01-01",
+         "extra": {"a": [{"b": i}, {}], "c": "}"}, "content": "x" * rng.choice([0, 3, 900])}
+        for i in range(40)
+    ]
+    for name, text in (("a", array_text(records, True, 2)), ("b", json.dumps(records)), ("c", "[]"), ("d", ""), ("e", "[\n" + ",\n".join(map(json.dumps, records)) + "\n]")):
+        (tmp_path / f"news_{name}.json").write_text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        rows = arrays.read_array_files(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    for name in "abe":
+        own = [r for r in rows if r["_file"].endswith(f"news_{name}.json")]
+        good = [(r["title"], r["url"], r["content"]) for r in own if r["_corrupt_record"] is None]
+        assert sorted(good, key=str) == sorted([(r["title"], r["url"], r["content"]) for r in records], key=str), name
+        assert [r["_corrupt_record"].split() for r in own if r["_corrupt_record"] is not None] == (
+            [["{", '"title":', "not", "json,", "},", "oh"]] if name == "a" else []
+        )
+    assert not [r for r in rows if r["_file"][-6] in "cd"]
