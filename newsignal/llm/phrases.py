@@ -175,11 +175,11 @@ def slice_stripes(words: PieceWords, seed: int, k: int, frequent: PhraseFilter |
     only extensions whose first and last k words may be frequent count.
     """
     keys = words.keys(seed)
-    n = len(words.codes) - k
-    run = np.ones(max(n, 0) + 1, bool)  # k words in one piece from here on
+    n = max(len(words.codes) - k + 1, 0)
+    run = np.ones(n, bool)  # k words in one piece from here on
     for i in range(k - 1):
-        run &= words.joined[i : i + n + 1]
-    at = np.flatnonzero(run) if n >= 0 else np.zeros(0, np.int64)
+        run &= words.joined[i : i + n]
+    at = np.flatnonzero(run)
     goes_on = np.append(words.joined, False)[at + k - 1]
     if frequent is not None:
         at = at[goes_on]
