@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsignal import schemas
+from newsignal.functions import numeric
 from newsignal.operators import aggregate, clean, coverage, prices, report, scoring, tagging
 from newsignal.plans import carried, driver_tables as d
 from newsignal.plans.catalog import (
-    CLEAN_COLUMNS, CORR_OUT, CORR_SQL, HIT_COLUMNS, LINE_DAILY, INGESTED, MART_SQL, MATCHES, ORACLES, PCT, QUERIES, SCORED, TAGGED,
+    CLEAN_COLUMNS, CORR_OUT, CORR_SQL, HIT_COLUMNS, LINE_DAILY, INGESTED, MART_COLUMNS, MART_SQL, MATCHES, ORACLES, PCT, QUERIES, SCORED, TAGGED,
     _score, _word_list, cleaned_articles, fresh_marts, line_mart, line_prices, news_inputs, news_sql, query,
     raw_articles, with_,
 )
@@ -356,6 +357,36 @@ def quality_history(spark, sf):
     )
 
 
+# ---- Lookups in stored marts -----------------------------------------------------------
+
+LOOKED_UP = ("Supplier#000000007", "Supplier#000000004x")
+
+
+@query(
+    "entity_detail_stored",
+    MART_SQL + f"""SELECT {MART_COLUMNS} FROM mart WHERE company_name IN {LOOKED_UP}
+    QUALIFY row_number() OVER (PARTITION BY company_name ORDER BY event_date DESC) = 1""",
+)
+def entity_detail_stored(spark, sf):
+    """A company's latest row from the stored mart, and none for a name that does not exist.
+
+    The mart's files are sorted by company and hold Bloom filters, so a lookup reads one row
+    group of a date at most.
+    """
+    database = fresh_marts(spark)
+    mart = text_dates(line_mart(spark, sf)).withColumn("sample_headlines", F.array().cast("array<string>"))
+    sinks.overwrite_mart(mart, database, "company_sentiment")
+    tables.collect_statistics(spark, database)
+    stored = tables.read_mart(spark, database, "company_sentiment")
+    doubles = {
+        c: numeric.half_even(F.col(c).cast("double")) for c in ("pct_positive", "pct_negative", "sentiment_score")
+    }
+    found = tables.union_all([report.entity_detail(stored, name) for name in LOOKED_UP])
+    return found.withColumns(doubles).withColumn("mention_count", F.col("mention_count").cast("bigint")).select(
+        *MART_COLUMNS.split(", ")
+    )
+
+
 # ---- Large array files -----------------------------------------------------------------
 
 BLOCK = 64 << 10

@@ -63,6 +63,12 @@ MARTS = {
     "sentiment_price_correlation": (SENTIMENT_PRICE_CORRELATION, "event_date"),
     "pipeline_runs": (PIPELINE_RUNS, None),
 }
+# Columns that readers look single companies up by.  Files are sorted by the first one.
+LOOKUPS = {
+    "price_data": ("ticker",),
+    "company_sentiment": ("company_name", "ticker"),
+    "sentiment_price_correlation": ("company_name", "ticker"),
+}
 
 
 def align_to(df: DataFrame, schema: T.StructType) -> DataFrame:

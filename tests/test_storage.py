@@ -101,6 +101,52 @@ def test_dates_outside_the_run_stay(frame, spark, tmp_path):
     assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1, 1]
 
 
+def rows_scanned(df):
+    """Rows that came out of the scan of a plan with a single one, after it ran."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    assert leaves.size() == 1
+    return leaves.apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_lookups_skip_row_groups(spark, tmp_path):
+    """Rows come shuffled; a company is one row group of ORC (10,000 rows), an unknown one none."""
+    n = 60_000
+    mart = spark.range(n).selectExpr(
+        f"lpad(id * 7919 % {n}, 6, '0') AS ticker", f"concat('N', lpad(id * 7919 % {n}, 6, '0')) AS company_name",
+        "'I' AS industry", "id / 7 AS sentiment_score", "'neutral' AS sentiment_label", "1 AS mention_count",
+        "0.5 AS pct_positive", "0.5 AS pct_negative", "array('a') AS sample_headlines", "'2026-01-01' AS event_date",
+    )
+    tables.create_marts(spark, "nsskip", str(tmp_path / "db"))
+    sinks.overwrite_mart(mart, "nsskip", "company_sentiment")
+    stored = tables.read_mart(spark, "nsskip", "company_sentiment")
+    assert stored.count() == n
+    assert rows_scanned(stored.select("company_name")) == n
+    mart.write.orc(str(tmp_path / "plain"))
+    plain = spark.read.orc(str(tmp_path / "plain"))
+    for column, value in (("company_name", "N030001"), ("ticker", "030001")):
+        assert 0 < rows_scanned(stored.filter(F.col(column) == value)) <= 10_000
+    assert stored.filter("company_name = 'N030001'").count() == 1
+    assert rows_scanned(plain.filter("company_name = 'N030001'")) > 10_000
+    # Within the range of names, so only a Bloom filter can tell.
+    assert rows_scanned(stored.filter("company_name = 'N030001x'")) == 0
+    assert rows_scanned(plain.filter("company_name = 'N030001x'")) > 0
+
+
+def test_statistics_of_marts(frame, spark, tmp_path):
+    tables.create_marts(spark, "nsstats", str(tmp_path / "db"))
+    rows = frame("event_date string, ticker string, close_price double, price_change_pct double, industry string",
+                 *[dict(event_date=f"2026-01-0{i % 3 + 1}", ticker=f"T{i % 5}") for i in range(30)])
+    sinks.overwrite_mart(rows, "nsstats", "price_data")
+    tables.collect_statistics(spark, "nsstats")
+    found = {r["info_name"]: r["info_value"] for r in spark.sql("DESCRIBE EXTENDED nsstats.price_data ticker").collect()}
+    assert (found["distinct_count"], found["num_nulls"]) == ("5", "0")
+    spark.conf.set("spark.sql.cbo.enabled", "true")
+    plan = spark.table("nsstats.price_data")._jdf.queryExecution().optimizedPlan()
+    assert plan.stats().rowCount().get() == 30
+    spark.conf.unset("spark.sql.cbo.enabled")
+
+
 def test_marts(frame, spark, tmp_path):
     tables.create_marts(spark, "nsmart", str(tmp_path / "db"))
     tables.create_marts(spark, "nsmart")
