@@ -21,8 +21,8 @@ CACHED_WORDS = 400_000
 # Fixed value: the word pattern of the vocabulary file.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 END_OF_WORD = "</w>"
-# A byte that no UTF-8 text holds stands for the end of a word.
-MARK = b"\xff"
+# A control character stands for the end of a word; words that hold one go to the tokenizer.
+MARK = "\x1f"
 
 
 def byte_symbols() -> dict[str, int]:
@@ -37,7 +37,7 @@ class WordIds(dict):
 
     The tokenizer splits at white space before anything else, so the ids of a text are
     those of its words in a row.  Words of Latin letters and marks are encoded from the
-    vocabulary's ranks, all others by the tokenizer itself.
+    vocabulary's ranks, which takes less than half the time, all others by the tokenizer itself.
     """
 
     def __init__(self, vocabulary: str):
@@ -53,19 +53,17 @@ class WordIds(dict):
         for token, i in model["model"]["vocab"].items():
             if token not in special:
                 word = token.removesuffix(END_OF_WORD) if token != END_OF_WORD else token
-                mark = MARK if word != token else b""
+                mark = MARK.encode() if word != token else b""
                 ranks[bytes(symbols[c] for c in word) + mark] = i
-        encoding = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})
-        self.encode_piece = encoding._core_bpe.encode_single_piece
+        self.ranked = tiktoken.Encoding(
+            "words", pat_str=f"[^{MARK}]+{MARK}", mergeable_ranks=ranks, special_tokens={}
+        )
 
     def __missing__(self, word: str) -> bytes:
         if not word:
             ids = []
-        elif max(word) < "\xff" and "<|" not in word:
-            ids = [
-                i for piece in PIECES.findall(word.lower())
-                for i in self.encode_piece(piece.encode() + MARK)
-            ]
+        elif " " < min(word) and max(word) < "\xff" and "<|" not in word:
+            ids = self.ranked.encode_ordinary("".join(piece + MARK for piece in PIECES.findall(word.lower())))
         else:
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         if len(self) >= CACHED_WORDS:
