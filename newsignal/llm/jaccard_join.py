@@ -120,8 +120,8 @@ def described(docs: DataFrame, similar: Similar) -> DataFrame:
     return docs.select("doc_id", "row_hash", "text").mapInArrow(describe, schema)
 
 
-def marks(docs: DataFrame, similar: Similar) -> DataFrame:
-    """(mark, node): the signatures of each document's set; rows without doc_id have none."""
+def marks(texts: DataFrame, similar: Similar) -> DataFrame:
+    """(mark, node): the signatures of each node's set."""
     limits = similar.classes(1 << 40)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,12 +133,11 @@ def marks(docs: DataFrame, similar: Similar) -> DataFrame:
                 ]
                 at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found).view(np.int64)), batch.column("doc_id").take(at)],
+                    [pa.array(np.concatenate(found).view(np.int64)), batch.column("node").take(at)],
                     names=["mark", "node"],
                 )
 
-    rows = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(mark, "mark long, node long")
+    return texts.select("node", "text").mapInArrow(mark, "mark long, node long")
 
 
 def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -252,8 +251,10 @@ def cut_groups(rows: np.ndarray, sizes: np.ndarray, group_docs: int) -> Iterator
         yield rows[begin:]
 
 
-def links(sets: list[np.ndarray], similar: Similar, left: np.ndarray, group_docs: int) -> list[tuple[int, int]]:
-    """Links that connect what all linked pairs connect.
+def links(
+    sets: list[np.ndarray], copies: np.ndarray, similar: Similar, left: np.ndarray, group_docs: int,
+) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links that connect what all linked pairs connect, and how many copies each set is linked with.
 
     ``left`` marks sets to compare with the unmarked ones only; unmarked ones are compared
     with each other only where no set is marked.  Sets are grouped by size, then by least
@@ -270,6 +271,7 @@ def links(sets: list[np.ndarray], similar: Similar, left: np.ndarray, group_docs
         groups += [(side, g) for g in cut_groups(rows, sizes, group_docs)]
     unions = [np.unique(np.concatenate([sets[i] for i in rows])) for _, rows in groups]
     forest, out, t = Forest(len(sets)), [], similar.percent
+    linked_copies = np.zeros(len(sets), np.int64)
     for g, (side, rows) in enumerate(groups):
         if cross and side:
             continue
@@ -291,17 +293,23 @@ def links(sets: list[np.ndarray], similar: Similar, left: np.ndarray, group_docs
             queries, asked = queries[opened], asked[opened]
             shared = asked @ held.T
             union = sizes[queries][:, None] + sizes[rows][None, :] - shared
-            for q, r in zip(*np.nonzero(100 * shared >= t * union)):
+            linked = (100 * shared >= t * union) & (queries[:, None] != rows[None, :])
+            # Within a group both sides of a link are queries.
+            linked_copies[queries] += (linked * copies[rows]).sum(axis=1)
+            if g != h:
+                linked_copies[rows] += (linked * copies[queries][:, None]).sum(axis=0)
+            for q, r in zip(*np.nonzero(linked)):
                 a, b = int(queries[q]), int(rows[r])
-                if a != b and forest.join(a, b):
+                if forest.join(a, b):
                     out.append((a, b))
-    return out
+    return out, linked_copies
 
 
-def linked_sets(members: DataFrame, docs: DataFrame, similar: Similar, task_tokens: int, group_docs: int) -> DataFrame:
-    """Edges (a, b) between nodes of one family that connect all linked pairs.
+def linked_sets(members: DataFrame, texts: DataFrame, similar: Similar, task_tokens: int, group_docs: int) -> DataFrame:
+    """Edges (a, b, 0) between nodes of one family that connect all linked pairs, and numbers of links.
 
-    ``members`` has node, n_shingles, family.  Families of up to ``task_tokens`` tokens share tasks.
+    A row (a, a, n) adds n to the links of each copy of node a; it counts copies of other nodes.
+    ``members`` has node, n_shingles, copies, family, ``texts`` node and text.  Families of up to ``task_tokens`` tokens share tasks.
     A larger one is dealt into parts, and each pair of parts is a task, so a task's size
     is bounded however large a family gets.
     """
@@ -314,19 +322,19 @@ def linked_sets(members: DataFrame, docs: DataFrame, similar: Similar, task_toke
     dealt = members.join(totals.withColumn("parts", parts), "family").withColumn(
         "part", F.pmod(F.hash("node"), F.col("parts"))
     )
-    texts = docs.select(F.col("doc_id").alias("node"), "text")
-    schema = "node long, family long, parts int, part int, tokens array<long>"
+    names = ["node", "copies", "family", "parts", "part"]
+    schema = "node long, copies long, family long, parts int, part int, tokens array<long>"
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in common.slices(whole):
                 sets = [s.view(np.int64) for s in shingle_sets(batch, similar.words)]
                 yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(c) for c in ("node", "family", "parts", "part")], pa.array(sets, pa.list_(pa.int64()))],
-                    names=["node", "family", "parts", "part", "tokens"],
+                    [*[batch.column(c) for c in names], pa.array(sets, pa.list_(pa.int64()))],
+                    names=[*names, "tokens"],
                 )
 
-    sets = texts.join(dealt, "node").select("node", "family", "parts", "part", "text").mapInArrow(tokens, schema)
+    sets = texts.join(dealt, "node").select(*names, "text").mapInArrow(tokens, schema)
     meets = F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1),
         lambda o: F.struct(F.least(F.col("part"), o).alias("p"), F.greatest(F.col("part"), o).alias("q")),
@@ -335,7 +343,7 @@ def linked_sets(members: DataFrame, docs: DataFrame, similar: Similar, task_toke
         "task",
         F.when(F.col("parts") == 1, F.pmod(F.xxhash64("family"), pools))
         .otherwise(F.xxhash64("family", "meet.p", "meet.q")),
-    ).select("task", "parts", "family", "meet.p", "meet.q", "part", "node", "tokens")
+    ).select("task", "family", "meet.p", "meet.q", "part", "node", "copies", "tokens")
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -343,47 +351,67 @@ def linked_sets(members: DataFrame, docs: DataFrame, similar: Similar, task_toke
             nodes = own["node"].tolist()
             sets = [np.sort(np.asarray(t, np.int64).view(U64)) for t in own["tokens"]]
             left = (own["part"] == p).to_numpy() if p != q else np.zeros(len(own), bool)
-            out += [(nodes[a], nodes[b]) for a, b in links(sets, similar, left, group_docs)]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+            edges, counts = links(sets, own["copies"].to_numpy(), similar, left, group_docs)
+            out += [(nodes[a], nodes[b], 0) for a, b in edges]
+            out += [(node, node, n) for node, n in zip(nodes, counts.tolist()) if n]
+        return pd.DataFrame(out, columns=["a", "b", "n"], dtype="int64")
 
-    return tasks.groupBy("task").applyInPandas(compare, "a long, b long")
+    return tasks.groupBy("task").applyInPandas(compare, "a long, b long, n long")
 
 
 def jaccard_groups(
     docs: DataFrame, similar: Similar = FIVE_80, task_tokens: int = TASK_TOKENS,
     group_docs: int = GROUP_DOCS,
 ) -> DataFrame:
-    """One row per document: doc_id, row_hash (see ``common.text_key``), n_shingles, component_id.
+    """One row per document: doc_id, row_hash (see ``common.text_key``), n_shingles, component_id, n_links.
 
     Documents link when their shingle sets are similar enough; component_id is the
-    smallest doc_id that links can reach.  Equal sets become one node, sets that might link
-    share a family, and families are compared in full; a link between different sets is
-    missed with a chance below 1e-10, that of two similar sets with unlike sketches.  A
-    document without words is alone.  Rows that share a doc_id are one node of the graph.  A
-    null doc_id takes no part and has a null component_id.
+    smallest doc_id that links can reach, n_links the number of other rows that the row is
+    linked with, copies included.  Equal sets become one node, of which one text goes on;
+    sets that might link share a family, and families are compared in full; a link between
+    different sets is missed with a chance below 1e-10, that of two similar sets with unlike
+    sketches.  A document without words is alone.  Rows that share a doc_id are in one
+    component, whatever their texts.  A null doc_id takes no part and has a null
+    component_id and no links.
     """
     rows = common.keyed(docs)
     sets = common.written(described(rows, similar), "sets")
     usable = sets.filter("doc_id is not null and n_shingles > 0")
+    first = F.min(F.struct("doc_id", "row_hash"))
     classes = usable.groupBy("x", "y").agg(
-        F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"),
-        F.first("sketch").alias("sketch"),
+        first["doc_id"].alias("doc_id"), first["row_hash"].alias("row_hash"), F.count(F.lit(1)).alias("copies"),
+        F.max("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"),
     )
-    classes = common.written(classes, "classes")
-    # Copies of a set have its marks; only the first one of them goes on.
-    firsts = common.written(
-        classes.groupBy("node").agg(F.max("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")),
-        "firsts",
+    classes = common.written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    # Repeated rows are one text.
+    texts = rows.withColumn("doc_id", F.col("doc_id").cast("long")).join(
+        classes.select("doc_id", "row_hash", "node"), ["doc_id", "row_hash"]
+    ).groupBy("doc_id", "row_hash").agg(F.first("node").alias("node"), F.first("text").alias("text"))
+    texts = common.written(texts.select("node", "text"), "texts")
+    shared = common.written(shared_marks(marks(texts, similar)), "marks")
+    members = families(shared, classes, similar).join(classes.select("node", "n_shingles", "copies"), "node")
+    found = common.written(linked_sets(members, texts, similar, task_tokens, group_docs), "links")
+
+    # Rows that share a doc_id tie their sets together.
+    own = usable.select("doc_id", "x", "y").join(classes.select("x", "y", "node"), ["x", "y"]).select("doc_id", "node")
+    least = own.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
+    same_id = own.join(common.written(least, "shared-ids"), "doc_id").select("a", F.col("node").alias("b"))
+    reached = components(found.select("a", "b").unionByName(same_id))
+    placed = common.written(
+        classes.join(reached, "node", "left").select(
+            "x", "y", "node", "doc_id", "copies", F.coalesce("component", "node").alias("component")
+        ),
+        "placed",
     )
-    shared = common.written(shared_marks(marks(rows, similar)), "marks")
-    members = families(shared, firsts, similar).join(firsts.select("node", "n_shingles"), "node")
-    edges = linked_sets(members, rows, similar, task_tokens, group_docs)
-    reached = components(edges)
-    named = classes.join(reached, "node", "left").select(
-        "x", "y", F.coalesce("component", "node").alias("component_id")
+    smallest = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
+    named = placed.join(smallest, "component").join(counts, "node", "left").select(
+        "x", "y", "component_id", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links")
     )
     keep = sets.select("doc_id", "row_hash", "n_shingles", "x", "y")
-    linked = keep.filter("doc_id is not null and n_shingles > 0").join(named, ["x", "y"])
-    alone = keep.filter("doc_id is null or n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "row_hash", "n_shingles", "component_id"]
+    linked = keep.filter("doc_id is not null and n_shingles > 0").join(common.written(named, "named"), ["x", "y"])
+    alone = keep.filter("doc_id is null or n_shingles = 0").withColumns(
+        {"component_id": F.col("doc_id"), "n_links": F.lit(0).cast("long")}
+    )
+    columns = ["doc_id", "row_hash", "n_shingles", "component_id", "n_links"]
     return linked.select(*columns).unionByName(alone.select(*columns))

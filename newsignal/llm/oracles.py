@@ -85,8 +85,9 @@ reach AS (
   SELECT doc_id AS node, doc_id AS seen FROM d
   UNION SELECT node, b FROM reach JOIN links ON seen = a),
 least AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)
-SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
-FROM d JOIN least ON node = doc_id LEFT JOIN n USING (doc_id)"""
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
+FROM d JOIN least ON node = doc_id LEFT JOIN n USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a) USING (doc_id)"""
 
 OP6 = """
 WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),

@@ -40,7 +40,7 @@ def shingles(text, n):
 
 def similar(docs, n, percent):
     sets = {d: shingles(t, n) for d, t in docs}
-    up = {d: d for d in sets}
+    up, links = {d: d for d in sets}, Counter()
 
     def root(x):
         while up[x] != x:
@@ -57,7 +57,8 @@ def similar(docs, n, percent):
             if 100 * both >= percent * (len(s) + len(sets[o]) - both):
                 a, b = root(d), root(o)
                 up[max(a, b)] = min(a, b)
-    return [(d, len(sets[d]), root(d)) for d, _ in docs]
+                links.update((d, o))
+    return [(d, len(sets[d]), root(d), links[d]) for d, _ in docs]
 
 
 def repeated_bytes(docs, span):

@@ -155,7 +155,7 @@ def test_capped_raking_fills_the_budget(spark):
 
 @pytest.mark.parametrize("similar", [THREE_90, FIVE_80, Similar(2, 60)])
 def test_jaccard_groups(docs, pairs, similar):
-    same(rows(jaccard_groups(docs, similar, task_tokens=3000, group_docs=4), "doc_id", "n_shingles", "component_id"),
+    same(rows(jaccard_groups(docs, similar, task_tokens=3000, group_docs=4), "doc_id", "n_shingles", "component_id", "n_links"),
          brute.similar(pairs, similar.words, similar.percent))
 
 
@@ -168,10 +168,29 @@ def test_large_family_is_split(documents):
         if i % 2:
             words[(i * 13) % 120] = f"other{i}"
         texts.append((i, " ".join(words)))
-    got = rows(jaccard_groups(documents(texts), Similar(3, 90), task_tokens=1500, group_docs=8), "doc_id", "n_shingles", "component_id")
+    got = rows(jaccard_groups(documents(texts), Similar(3, 90), task_tokens=1500, group_docs=8), "doc_id", "n_shingles", "component_id", "n_links")
     same(got, brute.similar(texts, 3, 90))
 
 
+def test_links_of_copies_and_shared_ids(documents):
+    """Copies count as links; rows of one doc_id are in one component, and so is what they link with."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = a.replace("a0 ", "z ")
+    data = [(9, a), (9, a), (9, b), (4, b), (7, near), (6, c), (None, c), (5, ""), (3, None), (5, c)]
+    got = rows(jaccard_groups(documents(data), Similar(3, 90)), "doc_id", "component_id", "n_links")
+    same(got, [(9, 4, 2), (9, 4, 2), (9, 4, 1), (4, 4, 1), (7, 4, 2), (6, 5, 1), (None, None, 0), (5, 5, 0), (3, 3, 0),
+               (5, 5, 1)])
+
+
+def test_hot_near_copies_count_all_their_links(documents):
+    """Half of all rows are near copies of one page, some of them equal; their family is dealt into parts."""
+    base = [f"w{i}" for i in range(100)]
+    texts = [(i, " ".join(base[:99] + [f"x{i % 300}"])) for i in range(400)]
+    texts += [(1000 + i, " ".join(f"y{i}_{k}" for k in range(30))) for i in range(400)]
+    got = rows(jaccard_groups(documents(texts), Similar(3, 90), task_tokens=4000), "doc_id", "component_id", "n_links")
+    same(got, [(i, 0, 399) for i in range(400)] + [(1000 + i, 1000 + i, 0) for i in range(400)])
+
+
 def test_linked_sets_share_a_signature():
     rng = np.random.RandomState(5)
     for similar in (THREE_90, FIVE_80):
@@ -431,7 +450,7 @@ def test_word_ids_equal_the_tokenizer(pairs):
 
     words, tokenizer = packing.WordIds(vocabulary()), Tokenizer.from_file(vocabulary())
     odd = ["don't stop 'TIS it's", "café CAFÉ naïve ÿ Ÿ", "á é", "x y z\x1cq", "12,5 % #1!?", "ǅ ß ſ",
-           "<|startoftext|>a <|x|>", "日本語 テスト", "ΑΣ ΟΔΟΣ", "\x00\x01", "≠", "😀👍🏽"]
+           "<|startoftext|>a <|x|>", "日本語 テスト", "ΑΣ ΟΔΟΣ", "\x00\x01", "a\x1fb\x1f \x1f", "x\x85y\xa0z\tq", "≠", "😀👍🏽"]
     for text in [t or "" for _, t in pairs] + odd:
         assert np.frombuffer(words.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 

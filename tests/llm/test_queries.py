@@ -90,7 +90,7 @@ def plain_pipeline(docs):
     """The documents that reach packing, before mixing: (doc_id, text)."""
     rows = [(d, t) for d, t in docs if not brute.measures(t)[-1]]
     rows = [(r[0], r[4]) for r in brute.drop_lines(rows, 10)]
-    return [(d, t) for (d, t), (_, _, c) in zip(rows, brute.similar(rows, 5, 80)) if c == d]
+    return [(d, t) for (d, t), (_, _, c, _) in zip(rows, brute.similar(rows, 5, 80)) if c == d]
 
 
 def test_pipeline(spark, duck):
