@@ -1172,7 +1172,8 @@ def stream_ingest(spark, sf):
             f"{base}/raw"
         )
         stream = ingest.article_stream(spark, f"{base}/raw", "*.json", multi_line=False)
-        for query in ingest.store_articles(stream, f"{base}/store", f"{base}/bad", f"{base}/state"):
+        worth = ingest.worth(spark, f"{base}/raw")
+        for query in ingest.store_articles(stream, f"{base}/store", f"{base}/bad", f"{base}/state", **worth):
             query.awaitTermination()
     back = tables.read_partitioned(spark, f"{base}/store", "date")
     return schemas.align_to(back, schemas.ARTICLE)

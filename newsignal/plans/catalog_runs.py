@@ -252,6 +252,6 @@ def stream_quarantine(spark, sf):
     raw, base = raw_day_files(spark, sf), scratch_dir(spark, "quarantine")
     for _ in range(2):
         rows = stream.article_stream(spark, raw, "part-*", multi_line=False)
-        for running in stream.store_articles(rows, f"{base}/good", f"{base}/bad", f"{base}/state"):
+        for running in stream.store_articles(rows, f"{base}/good", f"{base}/bad", f"{base}/state", **stream.worth(spark, raw)):
             running.awaitTermination()
     return tables.read_partitioned(spark, f"{base}/bad", "date").select("date", "text")
