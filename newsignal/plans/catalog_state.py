@@ -17,7 +17,7 @@ from newsignal.operators.quality import Expected
 from newsignal.plans.daily import Inputs, run_day
 from newsignal.plans.catalog_runs import _attempts, rerun_month
 from newsignal.session import scratch_dir
-from newsignal.sources import articles as article_files, arrays, keys, sinks, tables
+from newsignal.sources import articles as article_files, arrays, files, keys, sinks, tables
 from newsignal.sources.snapshots import Snapshots
 from newsignal.streaming import ingest
 from newsignal.streaming.first_wins import first_wins_stream, rocksdb
@@ -177,6 +177,7 @@ def run_status(spark, sf):
 
 # ---- Keys, streams, sketches -----------------------------------------------------------
 
+HITS_BYTES = 64 << 20  # of the articles that a file of hits comes from, one for each of its queries
 HALVES = ["2024-01-15", "2024-01-30"]
 
 
@@ -204,21 +205,23 @@ def stream_first_wins(spark, sf):
     """First wins among hits that arrive in any order, equal to the batch's choice.
 
     Files are dealt by hash, so the winner of an article often comes after its rivals.  A
-    row of a later month closes all days.
+    row of a later month closes all days.  The files, as many as the hits are worth, are one
+    batch: between two batches the watermark would pass the days before the latest.
     """
     base = scratch_dir(spark, "first-wins")
     hits = coverage.relevant_hits(d.hits(spark, sf))
     keyed = clean.with_dedup_key(hits).withColumn("period", F.col("date").cast("timestamp"))
-    keyed.repartition(6, F.xxhash64("url", "company", "position")).write.parquet(f"{base}/in")
+    dealt = max(6, 4 * files.size(spark, f"{sf}/documents.parquet") // HITS_BYTES)
+    keyed.repartition(dealt, F.xxhash64("url", "company", "position")).write.parquet(f"{base}/in")
     later = keyed.limit(1).withColumns(
         {"period": F.lit("2024-03-01").cast("timestamp"), "date": F.lit("2024-03-01"), "dedup_key": F.lit("closing")}
     )
     later.write.mode("append").parquet(f"{base}/in")
-    stream = spark.readStream.schema(keyed.schema).option("maxFilesPerTrigger", 10).parquet(f"{base}/in")
+    stream = spark.readStream.schema(keyed.schema).parquet(f"{base}/in")
     rest = [c for c in clean.ARTICLE_ORDER if c in keyed.columns]
     with rocksdb(spark):
         rows = first_wins_stream(stream, ["date", "dedup_key"], ["query_rank", "position", *rest], "period")
-        ingest.store_stream(rows, f"{base}/out", f"{base}/state").awaitTermination()
+        ingest.store_stream(rows, f"{base}/out", f"{base}/state", **ingest.worth(spark, f"{base}/in")).awaitTermination()
     return tables.read_partitioned(spark, f"{base}/out", "date").select(*HIT_COLUMNS.split(", "), "dedup_key")
 
 
