@@ -393,6 +393,7 @@ def entity_detail_stored(spark, sf):
 # ---- Large array files -----------------------------------------------------------------
 
 BLOCK = 64 << 10
+ARRAY_BYTES = 64 << 20  # of the documents whose articles one array holds
 
 
 @query(
@@ -402,19 +403,23 @@ BLOCK = 64 << 10
     UNION ALL SELECT 'unknown', NULL, NULL, '{ not json ' || doc_id, true FROM articles WHERE doc_id % 50 = 0""",
 )
 def array_file_split(spark, sf):
-    """One file with one indented JSON array of all articles, read by a task per 64 KB.
+    """Large files with one indented JSON array of articles each, read by a task per 64 KB.
 
+    A file has one writer, so there are as many as the documents are worth, one up to 64 MB.
     Broken records among them are kept apart with their text.
     """
     base = scratch_dir(spark, "array")
+    arrays_written = 1 + files.size(spark, f"{sf}/documents.parquet") // ARRAY_BYTES
     rows = d.articles(spark, sf)
     record = F.struct(*[F.col(f.name) for f in schemas.ARTICLE])
     body = F.to_json(record, {"pretty": "true", "ignoreNullFields": "false"})
     good = rows.select("doc_id", F.concat(F.lit("  "), F.replace(body, F.lit("\n"), F.lit("\n  ")), F.lit(",")).alias("value"))
     bad = rows.filter("doc_id % 50 = 0").select("doc_id", F.concat(F.lit("  { not json "), "doc_id").alias("value"))
-    ends = spark.createDataFrame([(-1, "["), (1 << 62, "]")], "doc_id long, value string")
-    every = good.unionByName(bad).unionByName(ends).orderBy("doc_id", F.desc("value"))
-    every.select("value").coalesce(1).write.text(f"{base}/in")
+    rows = good.unionByName(bad).withColumn("file", F.pmod(F.xxhash64("doc_id"), F.lit(arrays_written)).cast("int"))
+    ends = [(place, value, file) for file in range(arrays_written) for place, value in ((-1, "["), (1 << 62, "]"))]
+    every = rows.unionByName(spark.createDataFrame(ends, "doc_id long, value string, file int"))
+    placed = every.repartitionById(arrays_written, F.col("file")).sortWithinPartitions("doc_id", F.desc("value"))
+    placed.select("value").write.text(f"{base}/in")
     key = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(key)
     spark.conf.set(key, str(BLOCK))
