@@ -38,6 +38,13 @@ def text_dates(df: DataFrame) -> DataFrame:
     return df.withColumn("event_date", F.date_format("event_date", "yyyy-MM-dd"))
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to scratch and read back, for one that several runs read."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def months_of(*frames: DataFrame) -> list[str]:
     return sorted({r["event_date"] for df in frames for r in df.select("event_date").distinct().collect()})
 
@@ -134,9 +141,9 @@ def publish_atomic(spark, sf):
     but one.  ``bound``: a reader of the first commit, opened before and used after.
     """
     marts = Snapshots(spark, scratch_dir(spark, "published"))
-    sentiment = text_dates(line_mart(spark, sf).select("ticker", "event_date", "mention_count"))
+    sentiment = stored(text_dates(line_mart(spark, sf).select("ticker", "event_date", "mention_count")), "monthly-mart")
     first = sentiment.withColumn("mention_count", -F.col("mention_count"))
-    price_rows = text_dates(line_prices(spark, sf)).select("ticker", "close_price", "event_date")
+    price_rows = stored(text_dates(line_prices(spark, sf)).select("ticker", "close_price", "event_date"), "monthly-prices")
     months, priced = months_of(sentiment), months_of(price_rows)
     version = marts.publish({"company_sentiment": (first, months), "price_data": (price_rows, priced)})
 
