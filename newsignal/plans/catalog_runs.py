@@ -203,7 +203,8 @@ def pipeline_checks(spark, sf):
 def raw_day_files(spark: SparkSession, sf: str) -> str:
     """Every hit of every query as day files, and broken records among them."""
     path = scratch_dir(spark, "raw")
-    sinks.write_day_files(schemas.align_to(d.hits(spark, sf), schemas.ARTICLE), path)
+    rows = schemas.align_to(d.hits(spark, sf, by_date=True), schemas.ARTICLE)
+    sinks.write_day_files(rows, path, rebalance=False, compression="gzip")
     broken = d.articles(spark, sf).filter("doc_id % 50 = 0").select(
         F.concat(F.lit("{ not json "), F.col("doc_id")).alias("value"), "date"
     )

@@ -124,15 +124,19 @@ KEY_SQL = (
 )
 
 
-def hits(spark: SparkSession, sf: str) -> DataFrame:
-    """Every document as returned by four of the queries (companies first, then topics)."""
+def hits(spark: SparkSession, sf: str, by_date: bool = False) -> DataFrame:
+    """Every document as returned by four of the queries (companies first, then topics).
+
+    ``by_date`` brings the articles of a date together before they are multiplied.
+    """
     names = [e[2] for e in WORD_ENTITIES] + TOPICS
     tickers = [e[0] for e in WORD_ENTITIES] + ["MACRO"] * len(TOPICS)
     q = len(names)
     ranks = F.array(*[((F.col("doc_id") + 3 * j) % q).cast("int") for j in range(4)])
     slot = F.col("query_rank") + 1
+    found = articles(spark, sf)
     return (
-        articles(spark, sf)
+        (found.hint("rebalance", "date") if by_date else found)
         .drop("ticker", "company", "article_type")
         .withColumn("query_rank", F.explode(ranks))
         .withColumn("ticker", F.element_at(F.array(*[F.lit(t) for t in tickers]), slot))

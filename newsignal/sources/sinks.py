@@ -218,16 +218,21 @@ def append_runs(runs: DataFrame, database: str) -> None:
     schemas.align_to(numbered, schemas.PIPELINE_RUNS).write.insertInto(f"{database}.pipeline_runs")
 
 
-def write_day_files(articles: DataFrame, path: str) -> None:
+def write_day_files(
+    articles: DataFrame, path: str, rebalance: bool = True, compression: str = "none",
+) -> None:
     """Articles as JSON, one record per line so that large days can be split.
 
     A day has a folder ``date=<date>`` that ``read_day_files`` finds.  Days in ``articles``
-    are replaced as a whole; other days stay.
+    are replaced as a whole; other days stay.  ``rebalance=False`` is for articles that lie
+    by date already.  With a compression such as gzip a file is read by one task, so large
+    days are split by their writers alone.
     """
+    rows = articles.hint("rebalance", "date") if rebalance else articles
     (
-        articles.hint("rebalance", "date").write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", "false")
-        .partitionBy("date").json(path)
+        .partitionBy("date").json(path, compression=compression)
     )
 
 
