@@ -1236,6 +1236,19 @@ def news_inputs(spark: SparkSession, sf: str) -> Inputs:
     return Inputs(raw_articles(spark, sf), closes, entities, query_table(entities, d.TOPICS))
 
 
+def stored_inputs(spark: SparkSession, sf: str) -> Inputs:
+    """``news_inputs`` for several runs: articles by date and closes, each computed and written once.
+
+    A run then reads the folders of its dates, and no events.
+    """
+    base, path = news_inputs(spark, sf), scratch_dir(spark, "inputs")
+    sinks.write_partitions(base.articles, f"{path}/articles", "date")
+    base.closes.write.parquet(f"{path}/closes")
+    articles = spark.read.schema(base.articles.schema).parquet(f"{path}/articles")
+    closes = spark.read.schema(base.closes.schema).parquet(f"{path}/closes")
+    return Inputs(articles.select(*schemas.ARTICLE.names), closes, base.entities, base.queries)
+
+
 CLOSES = f"""word_closes AS (
       SELECT {d._pick([e[0] for e in d.WORD_ENTITIES], f'user_id % {len(d.WORD_ENTITIES)} + 1')}
         AS ticker, strftime(ts, '%Y-%m-%d') AS event_date,
@@ -1287,10 +1300,10 @@ def news_to_correlation(spark, sf):
 def daily_run(spark, sf):
     """The published correlation mart after two runs, the second one repeated."""
     database = fresh_marts(spark)
-    store = scratch_dir(spark, "store")
+    store, inputs = scratch_dir(spark, "store"), stored_inputs(spark, sf)
     month = [f"2024-01-{day:02d}" for day in range(1, 31)]
     for days in (month[:15], month[15:], month[15:]):
-        run_day(spark, news_inputs(spark, sf), store, database, days, score=_score)
+        run_day(spark, inputs, store, database, days, score=_score)
     back = tables.read_mart(spark, database, "sentiment_price_correlation")
     rounded = {
         c: numeric.half_even(F.col(c).cast("double"))

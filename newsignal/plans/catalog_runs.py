@@ -9,7 +9,7 @@ from newsignal.functions import numeric
 from newsignal.plans import driver_tables as d
 from newsignal.plans.catalog import (
     DAY_LABEL, HITS_CTE, INGESTED, ORACLES, QUERIES, SCORED, SHARES, TAGGED, _score, fresh_marts,
-    news_inputs, news_sql, query, up,
+    news_sql, query, stored_inputs, up,
 )
 from newsignal.plans.companies import query_table
 from newsignal.plans.daily import Inputs, ingest, run_checks, run_day
@@ -40,7 +40,7 @@ def rerun_month(spark: SparkSession, sf: str) -> tuple[str, str]:
     if key in _runs:
         return _runs[key]
     database, store = fresh_marts(spark), scratch_dir(spark, "rerun")
-    base = news_inputs(spark, sf)
+    base = stored_inputs(spark, sf)
 
     def run(days: list[str], lost: tuple = (), restated: tuple = (), score=_score) -> None:
         gone = [QUIET, *lost]

@@ -10,8 +10,8 @@ from newsignal.operators import aggregate, clean, coverage, prices, report, scor
 from newsignal.plans import carried, driver_tables as d
 from newsignal.plans.catalog import (
     CLEAN_COLUMNS, CORR_OUT, CORR_SQL, HIT_COLUMNS, LINE_DAILY, INGESTED, MART_COLUMNS, MART_SQL, MATCHES, ORACLES, PCT, QUERIES, SCORED, TAGGED,
-    _score, _word_list, cleaned_articles, fresh_marts, line_mart, line_prices, news_inputs, news_sql, query,
-    raw_articles, with_,
+    _score, _word_list, cleaned_articles, fresh_marts, line_mart, line_prices, news_sql, query,
+    raw_articles, stored_inputs, with_,
 )
 from newsignal.operators.quality import Expected
 from newsignal.plans.daily import Inputs, run_day
@@ -351,7 +351,7 @@ def quality_history(spark, sf):
     """
     database, store = fresh_marts(spark), scratch_dir(spark, "history")
     published = Snapshots(spark, scratch_dir(spark, "checked"))
-    base = news_inputs(spark, sf)
+    base = stored_inputs(spark, sf)
     half = d.articles(spark, sf).filter((F.col("date") != HALVED) | (F.col("doc_id") % 2 == 0))
     halved = schemas.align_to(half, schemas.ARTICLE)
     first, later = Expected(min_days=1), Expected(min_days=1, trailing=10, least_share=SHORT)
