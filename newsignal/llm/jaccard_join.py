@@ -387,7 +387,7 @@ def jaccard_groups(
     texts = rows.withColumn("doc_id", F.col("doc_id").cast("long")).join(
         classes.select("doc_id", "row_hash", "node"), ["doc_id", "row_hash"]
     ).groupBy("doc_id", "row_hash").agg(F.first("node").alias("node"), F.first("text").alias("text"))
-    texts = common.written(texts.select("node", "text"), "texts")
+    texts = common.written(texts.select("node", "text"), "texts", "zstd")
     shared = common.written(shared_marks(marks(texts, similar)), "marks")
     members = families(shared, classes, similar).join(classes.select("node", "n_shingles", "copies"), "node")
     found = common.written(linked_sets(members, texts, similar, task_tokens, group_docs), "links")

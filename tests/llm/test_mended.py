@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import bisect
+import os
 import time
 from collections import Counter, defaultdict
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from newsignal.llm import common
 from newsignal.llm.html_extract import main_text, read_page
 from newsignal.llm.jaccard_join import FIVE_80, THREE_90, jaccard_groups
 from newsignal.llm.line_dedup import counts_name, drop_common_lines
@@ -253,3 +256,34 @@ def test_long_texts(spark, documents):
     assert next(r["text"] for r in out if r["doc_id"] == 1) == "\n".join(want)
     left = {r["doc_id"]: r["n_words"] - r["n_removed"] for r in drop_repeated_phrases(df).collect()}
     assert left[1] == len(long.split()) and left[2] <= 1
+
+
+def test_written_steps_leave_no_shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [d.getPath() for d in manager.localDirs()]
+
+    def shuffles():
+        return {f for top in folders for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+
+    before, setting = shuffles(), spark.conf.get(common.SHUFFLE_CLEANUP, None)
+    rows = common.written(spark.range(2000).repartition(3, "id"), "rows")
+    until = time.time() + 10
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert rows.count() == 2000 and spark.conf.get(common.SHUFFLE_CLEANUP, None) == setting
+
+
+def test_near_dedup_keeps_texts_compressed(spark, docs):
+    shared = os.path.join(spark.conf.get("spark.checkpoint.dir"), "newsignal")
+
+    def kept():
+        return {d for d in os.listdir(shared) if d.startswith(("near-rows-", "texts-"))} if os.path.isdir(shared) else set()
+
+    before = kept()
+    corpus_pipeline.near_dedup(spark, docs, "")
+    made = [os.path.join(shared, d) for d in kept() - before]
+    files = [os.path.join(d, f) for d in made for f in os.listdir(d) if f.endswith(".parquet")]
+    groups = [pq.ParquetFile(f).metadata for f in files]
+    assert len(made) == 2 and files
+    assert {m.row_group(i).column(0).compression for m in groups for i in range(m.num_row_groups)} == {"ZSTD"}
