@@ -7,30 +7,40 @@ from pyspark.sql import Column, DataFrame, functions as F
 from newsignal.llm import common
 
 
-def line_key(line: Column) -> Column:
-    """Hash of the line without white space at its ends and with A-Z in lower case.
+def lines_of(text: Column) -> Column:
+    return F.split(text, "\n", -1)
 
-    96 bits, so that two keys of a corpus do not meet by chance.  Null for an empty key.
-    """
-    key = F.translate(
-        F.btrim(line, F.lit(common.SPACE_CHARS)), common.UPPER, common.UPPER.lower()
-    )
+
+def lower_ascii(text: Column) -> Column:
+    """A-Z in lower case; other letters stay, so ``lower`` serves only where there are none."""
+    other = F.translate(text, common.UPPER, common.UPPER.lower())
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(other)
+
+
+def hashed(key: Column) -> Column:
     return F.when(F.length(key) > 0, F.struct(F.xxhash64(key).alias("x"), F.hash(key).alias("m")))
 
 
-def lines_of(text: Column) -> Column:
-    return F.split(text, "\n", -1)
+def line_keys(text: Column) -> Column:
+    """Hashes of the lines without white space at their ends and with A-Z in lower case.
+
+    96 bits, so that two keys of a corpus do not meet by chance.  Null for an empty key.
+    Trimming, lower case and hashing are transforms of their own: what one lambda uses
+    several times Spark computes as often.
+    """
+    trimmed = F.transform(lines_of(text), lambda line: F.btrim(line, F.lit(common.SPACE_CHARS)))
+    return F.transform(F.transform(trimmed, lower_ascii), hashed)
 
 
 def common_lines(rows: DataFrame, min_docs: int) -> DataFrame:
     """Keys of lines that stand in at least ``min_docs`` documents.
 
-    A document brings each key once; counting distinct doc_ids shuffles by key and
+    Counting distinct doc_ids takes each key once a document and shuffles by key and
     document first, so a line that a third of all documents hold is no hot key.
     """
-    keys = F.array_compact(F.array_distinct(F.transform(lines_of(F.col("text")), line_key)))
     return (
-        rows.select(F.struct("doc_id").alias("doc"), F.explode(keys).alias("key"))
+        rows.select(F.struct("doc_id").alias("doc"), F.explode(line_keys(F.col("text"))).alias("key"))
+        .filter("key is not null")
         .groupBy("key").agg(F.count_distinct("doc").alias("n_docs"))
         .filter(F.col("n_docs") >= min_docs)
     )
@@ -49,8 +59,7 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     # Written, so that the join has plain exchanges and Spark can split a line's many rows.
     found = common.written(common_lines(rows, min_docs), "common-lines")
     placed = rows.select(
-        "doc_id", "row_hash",
-        F.posexplode(F.transform(lines_of(F.col("text")), line_key)).alias("pos", "key"),
+        "doc_id", "row_hash", F.posexplode(line_keys(F.col("text"))).alias("pos", "key"),
     ).filter("key is not null")
     drops = (
         placed.join(found, "key", "left_semi")

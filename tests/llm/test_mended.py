@@ -15,7 +15,7 @@ import corpus_pipeline
 from newsignal.llm import common
 from newsignal.llm.html_extract import main_text, read_page
 from newsignal.llm.jaccard_join import FIVE_80, THREE_90, jaccard_groups
-from newsignal.llm.line_dedup import counts_name, drop_common_lines
+from newsignal.llm.line_dedup import common_lines, counts_name, drop_common_lines
 from newsignal.llm.mixing import mix
 from newsignal.llm.packing import pack_documents
 from newsignal.llm.phrase_dedup import drop_repeated_phrases
@@ -287,3 +287,27 @@ def test_near_dedup_keeps_texts_compressed(spark, docs):
     groups = [pq.ParquetFile(f).metadata for f in files]
     assert len(made) == 2 and files
     assert {m.row_group(i).column(0).compression for m in groups for i in range(m.num_row_groups)} == {"ZSTD"}
+
+
+def test_line_keys_are_computed_once_a_line(documents):
+    plans = [
+        df._jdf.queryExecution().executedPlan().toString()
+        for df in (common_lines(common.keyed(documents([(1, "One\ntwo")])), 1), drop_common_lines(documents([(1, "One\ntwo")])))
+    ]
+    assert [(p.count("translate("), p.count("trim(")) for p in plans] == [(1, 1), (1, 1)]
+    assert "array_distinct" not in plans[0]  # compares each line with all others of its text
+
+
+def test_lines_differ_by_letters_beyond_ascii(documents):
+    """Only A-Z and the six white space characters count as equal, beside any other letters."""
+    same = [("Plain LINE", "\x0b\tpLAIN line\r "), ("É Été X", " É Été x\x0c"), ("ΣΑΣ A", "ΣΑΣ a")]
+    apart = [("é", "É"), ("k", "K"), ("i̇", "İ"), ("σς", "ΣΣ"), ("x", "x\xa0"), ("y", "\x1cy"), ("ß", "ss")]
+    for a, b in same:
+        assert brute.line_key(a) == brute.line_key(b)
+        assert [r["text"] for r in drop_common_lines(documents([(1, a), (2, b)]), 2).collect()] == ["", ""]
+    data = [(i, "\n".join(pair[i] for pair in apart)) for i in range(2)]
+    assert sorted(r["text"] for r in drop_common_lines(documents(data), 2).collect()) == sorted(t for _, t in data)
+    # A line that one document repeats counts once; white space alone is no key.
+    repeated = [(1, "same\nSAME \nsame\n \n"), (2, " \n\nother")]
+    out = drop_common_lines(documents(repeated), 2).collect()
+    assert sorted(r["text"] for r in out) == sorted(t for _, t in repeated)
