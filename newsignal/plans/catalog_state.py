@@ -410,8 +410,9 @@ ARRAY_BYTES = 64 << 20  # of the documents whose articles one array holds
     UNION ALL SELECT 'unknown', NULL, NULL, '{ not json ' || doc_id, true FROM articles WHERE doc_id % 50 = 0""",
 )
 def array_file_split(spark, sf):
-    """Large files with one indented JSON array of articles each, read by a task per 64 KB.
+    """Large files with one indented JSON array of articles each, cut into blocks of 64 KB.
 
+    Blocks are dealt over tasks, and records that cross their borders are put together.
     A file has one writer, so there are as many as the documents are worth, one up to 64 MB.
     Broken records among them are kept apart with their text.
     """

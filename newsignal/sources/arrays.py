@@ -19,6 +19,16 @@ from newsignal.sources.articles import CORRUPT, NEWS_FILES, WITH_CORRUPT
 
 FRAGMENT = "file string, block long, part int, body string"
 HEAD, WHOLE, TAIL = 0, 1, 2  # lines before a block's first record, a record, the last one
+# Of the files that a task reads, whatever the size of their blocks; a file counts as so many more, as in Spark.
+TASK_BYTES, OPEN_BYTES = 16 << 20, 4 << 20
+
+
+def worth(scan: DataFrame) -> int:
+    """The tasks that the files of a scan are worth, one per core at least."""
+    relation = scan._jdf
+    size = int(relation.queryExecution().optimizedPlan().stats().sizeInBytes())
+    size += OPEN_BYTES * len(relation.inputFiles())
+    return max(scan.sparkSession.sparkContext.defaultParallelism, 1 + size // TASK_BYTES)
 
 
 def fragments(lines: DataFrame, indent: int) -> DataFrame:
@@ -43,10 +53,14 @@ def fragments(lines: DataFrame, indent: int) -> DataFrame:
             )
 
         for batch in batches:
-            for file, block, line in zip(*[batch.column(c).to_pylist() for c in ("file", "block", "value")]):
-                if (file, block) != place:
+            # numpy makes Python values of a column several times as fast as pyarrow.
+            files = batch.column("file").dictionary_encode()
+            names = files.dictionary.to_pylist()
+            columns = files.indices, batch.column("block"), batch.column("value")
+            for file, block, line in zip(*[c.to_numpy(zero_copy_only=False).tolist() for c in columns]):
+                if (names[file], block) != place:
                     flush(True)
-                    place, begun = (file, block), False
+                    place, begun = (names[file], block), False
                 if start.match(line):
                     flush(False)
                     begun = True
@@ -63,10 +77,13 @@ def fragments(lines: DataFrame, indent: int) -> DataFrame:
 def joined_fragments(parts: DataFrame) -> DataFrame:
     """The records that cross borders: a block's last record and the heads of the blocks behind it.
 
-    Windows hold one row per block of a file, never its records.
+    Windows hold one row per block of a file, never its records.  Both uses of the borders have
+    the same columns and filters (none of these is ever null), so Spark runs one scan and shuffle.
     """
-    borders = parts.filter(F.col("part") != WHOLE)
-    blocks = borders.groupBy("file", "block").agg(F.bool_or(F.col("part") == TAIL).alias("begins"))
+    known = F.col("file").isNotNull() & F.col("block").isNotNull() & F.col("body").isNotNull()
+    borders = parts.filter((F.col("part") != WHOLE) & known).repartition("file", "block")
+    begins = (F.col("part") == TAIL) & F.col("body").isNotNull()
+    blocks = borders.groupBy("file", "block").agg(F.bool_or(begins).alias("begins"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     owner = F.last(F.when(F.col("begins"), F.col("block")), ignorenulls=True).over(before)
     owners = blocks.select("file", "block", owner.alias("before"))
@@ -86,13 +103,14 @@ def read_array_files(
     A record begins on a line of its own, at most ``indent`` blanks from the margin.  One
     that cannot be parsed keeps its text in ``_corrupt_record`` and spoils no other.  An
     array on one line is read as a whole.  The files are scanned twice, for the records
-    within blocks and for those that cross their borders.
+    within blocks and for those that cross their borders.  A task reads as many blocks as
+    it is worth, since starting one takes longer than reading a small block.
     """
     text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(paths)
     lines = text.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
     )
-    parts = fragments(lines, indent)
+    parts = fragments(lines.coalesce(worth(text)), indent)
     whole = parts.filter(F.col("part") == WHOLE).select("file", "body")
     records = whole.unionByName(joined_fragments(parts).select("file", "body")).withColumn(
         "body", F.regexp_replace(F.trim(F.col("body")), r",\s*$", "")

@@ -353,3 +353,25 @@ def test_array_files_are_cut_at_records(spark, tmp_path, size):
             [["{", '"title":', "not", "json,", "},", "oh"]] if name == "a" else []
         )
     assert not [r for r in rows if r["_file"][-6] in "cd"]
+
+
+def test_small_blocks_share_tasks_and_borders_are_scanned_once(spark, tmp_path):
+    records = [{"title": f"t{i}", "content": "x" * (i % 7 * 300)} for i in range(200)]
+    for name in "ab":
+        (tmp_path / f"news_{name}.json").write_text(array_text(records, False, 2))
+    context, key = spark.sparkContext, "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "700")
+    context.setJobGroup("small-blocks", "")
+    try:
+        rows = arrays.read_array_files(spark, str(tmp_path))
+        found = sorted((r["_file"][-6], r["title"], r["content"]) for r in rows.collect())
+    finally:
+        spark.conf.set(key, before)
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert found == sorted((name, r["title"], r["content"]) for name in "ab" for r in records)
+    told = context.statusTracker()
+    stages = {s for job in told.getJobIdsForGroup("small-blocks") for s in told.getJobInfo(job).stageIds}
+    assert 1 < max(told.getStageInfo(s).numTasks for s in stages) <= 20
+    final = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan text") == 2
