@@ -63,11 +63,6 @@ class PieceWords:
         n = max(len(self.words), 1)
         return [(self.langs[p // n], self.words[p % n]) for p in self.pairs.tolist()]
 
-    def keys(self, seed: int) -> np.ndarray:
-        return np.fromiter(
-            (word_key(lang, word, seed) for lang, word in self.names()), np.int64, len(self.pairs)
-        )
-
 
 def word_key(lang: str, word: bytes, seed: int) -> int:
     """A signed 64-bit key, never END."""
@@ -75,6 +70,11 @@ def word_key(lang: str, word: bytes, seed: int) -> int:
     return (h or 1) - ((h >> 63) << 64)
 
 
+def word_keys(words: PieceWords, seed: int) -> np.ndarray:
+    """The keys of ``words.names()``; no method, since a worker keeps the first class that it was sent."""
+    return np.fromiter((word_key(lang, word, seed) for lang, word in words.names()), np.int64, len(words.pairs))
+
+
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches joined and cut to slices of about SLICE bytes of text."""
     held, size = [], 0
@@ -109,7 +109,7 @@ def vocabulary(docs: DataFrame, seed: int = 0) -> DataFrame:
             n = np.bincount(words.codes, minlength=len(names))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(words.keys(seed)), pa.array([x[0] for x in names], pa.string()),
+                    pa.array(word_keys(words, seed)), pa.array([x[0] for x in names], pa.string()),
                     pa.array([x[1] for x in names], pa.binary()), pa.array(n),
                 ],
                 names=["key", "lang", "word", "n"],
@@ -174,7 +174,7 @@ def slice_stripes(words: PieceWords, seed: int, k: int, frequent: PhraseFilter |
     the prefix counts, those at the end of a piece with END as their next word.  With one,
     only extensions whose first and last k words may be frequent count.
     """
-    keys = words.keys(seed)
+    keys = word_keys(words, seed)
     n = max(len(words.codes) - k + 1, 0)
     run = np.ones(n, bool)  # k words in one piece from here on
     for i in range(k - 1):
